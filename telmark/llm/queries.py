@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telmark.llm import bpe, line_dedup, packing, secret_scan, sharding
+from telmark.llm import ann, bpe, line_dedup, ngram_join, packing, secret_scan, sharding, url_filter, vector_dedup
 from telmark.llm.shared import table
 
 
@@ -15,10 +15,42 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/")]
+
+
+def op1_url_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
+def op2_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 20 == 0, k=20, factor=1.15)
+
+
 def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), _vocabulary("word_bpe_49k.json"))
 
 
+def op4_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+OP4_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS node, vec_id AS seen FROM embeddings
+  UNION
+  SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a
+)
+SELECT e.vec_id, coalesce(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) c ON c.node = e.vec_id
+"""
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents", "doc_id", "text"))
     base = F.filter("findings", lambda f: f["depth"] == 0)
@@ -28,6 +60,25 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", n("assign"), n("access"), n("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("findings")).alias("spans"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicate_components(table(spark, sf_dir, "documents", "doc_id", "text"), k=3, percent=90)
+
+
+OP7_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(generate_series(1, len(words) - 2), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])) END AS shingles FROM w
+), n AS (SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n FROM s),
+t AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+both AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.seen = l.a)
+SELECT n.doc_id, n.n AS n_shingles, c.component_id FROM n JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) c ON c.node = n.doc_id
+"""
+
+
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_into_shards(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -60,8 +111,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_min_bin_slack, op6_secret_scan, op8_hypergeometric_shards, op9_line_dedup, op10_bpe)}
+    return {f.__name__: f for f in (op1_url_language_model, op2_vantage_point_trees, op3_min_bin_slack, op4_sorted_projections, op6_secret_scan, op7_ngram_jaccard, op8_hypergeometric_shards, op9_line_dedup, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": OP9_SQL}
+    return {"op4_sorted_projections": OP4_SQL, "op7_ngram_jaccard": OP7_SQL, "op9_line_dedup": OP9_SQL}
