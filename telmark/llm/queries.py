@@ -9,7 +9,7 @@ from telmark.llm import ann, bpe, line_dedup, ngram_join, packing, secret_scan,
 from telmark.llm.shared import table
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -27,7 +27,7 @@ def op2_vantage_point_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), _vocabulary("word_bpe_49k.json"))
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("word_bpe_49k.json"))
 
 
 def op4_sorted_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +114,7 @@ FROM marked GROUP BY doc_id
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), _vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def queries() -> dict:

@@ -8,16 +8,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a checkpoint in the shared folder of ``spark.checkpoint.dir``.
-
-    The files survive a lost executor. Only where the setting is absent (single-machine
-    tests) a folder is made here.
-    """
-    spark = df.sparkSession
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of ``spark.checkpoint.dir``; only where that is unset (single-machine tests) one is made here."""
     sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    found = sc._jsc.sc().getCheckpointDir()
+    if found.isEmpty():
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        found = sc._jsc.sc().getCheckpointDir()
+    return found.get()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage by a checkpoint in the shared folder; the files survive a lost executor."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -57,7 +57,7 @@ def _word_hash(words: list[str]) -> np.ndarray:
 
 
 def _tagged(h: np.ndarray, kind: int) -> np.ndarray:
-    return h ^ np.uint64(KINDS.index(kind) + 1) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ np.uint64((KINDS.index(kind) + 1) * 0x9E3779B97F4A7C15 % 2**64)
 
 
 def _features(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
