@@ -15,6 +15,7 @@ Null doc_ids stay null. An empty table gives an empty result. Further columns ar
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -26,15 +27,20 @@ from pyspark.sql import functions as F
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long"
-CACHE_ENTRIES = 300_000
-CACHE_WORD_CHARS = 64
+CACHE_ENTRIES = 800_000
 
 
-class _Words(dict):
-    """Text between white space to its ids as little-endian bytes.
+# A comma or full stop between a letter and white space is a token of its own.
+_TAIL = re.compile(r"(?<=[a-zà-öø-ÿ])([,.])(?=[ \n])")
 
-    The tokenizer drops white space and never merges across it, so a text's ids are those of
-    its words one after another.
+
+class WordIds:
+    """Ids of texts, word by word.
+
+    The tokenizer lower-cases, drops white space and never merges across it, so a text's ids are
+    those of its words one after another. Words met before come from a table; new ones are
+    encoded together in one call. The table is emptied at a bound, so memory does not grow
+    with the input.
     """
 
     def __init__(self, path: str):
@@ -42,26 +48,55 @@ class _Words(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self[""] = b""
-
-    def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= CACHE_WORD_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.clear()
-                self[""] = b""
-            self[word] = ids
-        return ids
-
-
-_words: dict[str, _Words] = {}
-
-
-def token_bytes(text: str, path: str) -> bytes:
-    """Ids of a text as little-endian unsigned 32-bit integers, without special tokens."""
-    if path not in _words:
-        _words[path] = _Words(path)
-    return b"".join(map(_words[path].__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        starts = np.cumsum([0, *map(len, words)]) + np.arange(len(words) + 1)
+        e = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
+        offsets = e.offsets
+        at = np.fromiter((s for s, _ in offsets), np.int64, len(offsets))
+        ids = np.array(e.ids, "<u4").tobytes()
+        cut = (4 * np.searchsorted(at, starts)).tolist()
+        return [ids[a:b] for a, b in zip(cut, cut[1:], strict=False)]
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        # Letters whose lower case depends on what follows, and names of special tokens, are left as they are.
+        if "<|" not in text and "İ" not in text and "Σ" not in text:
+            text = text.lower()
+        return _TAIL.sub(r" \1", text).replace("\n", " ").replace("\t", " ").split(" ")
+
+    def texts(self, texts: list[str]) -> list[bytes]:
+        lists = [self._split(t) for t in texts]
+        if len(self.words) > CACHE_ENTRIES:
+            self.words = {"": b""}
+        new = list(set().union(*lists).difference(self.words))
+        for i in range(0, len(new), 4096):
+            part = new[i : i + 4096]
+            self.words.update(zip(part, self._encode(part), strict=True))
+        return [b"".join(map(self.words.__getitem__, x)) for x in lists]
+
+
+_tables: dict[str, WordIds] = {}
+
+
+def token_bytes(texts: list[str], path: str) -> list[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit integers, without special tokens."""
+    if path not in _tables:
+        _tables[path] = WordIds(path)
+    return _tables[path].texts(texts)
+
+
+def _slices(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many characters."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= chars:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
 
 
 def pieces(docs: DataFrame, path: str, sequence_length: int = 4096, end_id: int = 1) -> DataFrame:
@@ -72,9 +107,11 @@ def pieces(docs: DataFrame, path: str, sequence_length: int = 4096, end_id: int
         width = 4 * sequence_length
         for batch in batches:
             rows: list[tuple] = []
-            for doc, value in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = token_bytes(value.as_py() or "", path) + end
-                rows += [(doc, p, at // 4, min(width, len(ids) - at) // 4, zlib.crc32(ids[at : at + width])) for p, at in enumerate(range(0, len(ids), width))]
+            docs_, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
+            for i, j in _slices(texts):
+                for doc, ids in zip(docs_[i:j], token_bytes(texts[i:j], path), strict=True):
+                    ids += end
+                    rows += [(doc, p, at // 4, min(width, len(ids) - at) // 4, zlib.crc32(ids[at : at + width])) for p, at in enumerate(range(0, len(ids), width))]
             cols = list(zip(*rows, strict=True)) or [[]] * 5
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["doc_id", "piece", "start", "length", "ids_crc32"])
