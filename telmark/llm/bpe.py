@@ -2,7 +2,7 @@
 
 A pre-token's bytes form a linked list. For each adjacent pair that a merge rank covers, its
 left position goes into the bucket of that rank, and the rank's bit is set in a bitmap of
-three levels of 64 bits. Find-first-set gives the lowest rank; the bucket's leftmost position
+two levels of 256-bit words. Find-first-set gives the lowest rank; the bucket's leftmost position
 is merged if it still holds that pair (stale entries are skipped), and the two new neighbours
 are queued. The work is near linear in a pre-token's length, however long.
 
@@ -17,94 +17,91 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
+import sys
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 700_000
 CACHE_TOKEN_BYTES = 256
 
 
-class RankQueue:
-    """Buckets of positions by rank; the lowest rank that has any is found by three find-first-sets."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.low = [0] * ((ranks >> 6) + 1)
-        self.mid = [0] * ((ranks >> 12) + 1)
-        self.top = 0
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            a, b = rank >> 6, rank >> 12
-            self.low[a] |= 1 << (rank & 63)
-            self.mid[b] |= 1 << (a & 63)
-            self.top |= 1 << b
-        else:
-            heappush(bucket, position)
-
-    def pop(self) -> tuple[int, int] | None:
-        """The lowest rank and its leftmost position."""
-        if not self.top:
-            return None
-        b = (self.top & -self.top).bit_length() - 1
-        m = self.mid[b]
-        a = (b << 6) | ((m & -m).bit_length() - 1)
-        w = self.low[a]
-        rank = (a << 6) | ((w & -w).bit_length() - 1)
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            self.low[a] &= ~(1 << (rank & 63))
-            if not self.low[a]:
-                self.mid[b] &= ~(1 << (a & 63))
-                if not self.mid[b]:
-                    self.top &= ~(1 << b)
-        return rank, position
-
-
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: always the lowest-ranked pair, leftmost first."""
-    if not piece:
-        return []
-    if (whole := ranks.get(piece)) is not None:
-        return [whole]
-    n = len(piece)
-    part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    queue = RankQueue(len(ranks) + 1)
-    for i in range(n - 1):
-        if (r := ranks.get(piece[i : i + 2])) is not None:
-            queue.push(r, i)
-    while (found := queue.pop()) is not None:
-        rank, i = found
-        left = part[i]
-        if left is None or (j := after[i]) >= n:
-            continue
-        pair = left + part[j]
-        if ranks.get(pair) != rank:
-            continue
-        part[i], part[j] = pair, None
-        after[i] = k = after[j]
-        if k < n:
-            before[k] = i
-            if (r := ranks.get(pair + part[k])) is not None:
-                queue.push(r, i)
-        if (h := before[i]) >= 0 and (r := ranks.get(part[h] + pair)) is not None:
-            queue.push(r, h)
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[part[i]])
-        i = after[i]
-    return out
+class Merger:
+    """Merges pre-tokens with one rank queue, which is empty between them.
+
+    ``low`` has a bit per rank in words of 256, ``top`` a bit per word of ``low``.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.low = [0] * ((max(ranks.values()) >> 8) + 1)
+        self.bits = [1 << i for i in range(256)]
+
+    def merge(self, piece: bytes) -> list[int]:
+        """Ids of one pre-token: always the lowest-ranked pair, leftmost first."""
+        get = self.ranks.get
+        if (whole := get(piece)) is not None:
+            return [whole]
+        low, bits, top = self.low, self.bits, 0
+        buckets: dict[int, list[int]] = {}
+        n = len(piece)
+        # A symbol stands at its first byte: where it ends, 0 once it is merged away, and where the one before begins.
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        for i in range(n - 1):
+            if (rank := get(piece[i : i + 2])) is not None:
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    low[rank >> 8] |= bits[rank & 255]
+                    top |= 1 << (rank >> 8)
+        while top:
+            b = (top & -top).bit_length() - 1
+            w = low[b]
+            rank = (b << 8) + (w & -w).bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                low[b] = w = w & (w - 1)
+                if not w:
+                    top &= top - 1
+            middle = end[i]
+            if not middle or middle >= n:
+                continue
+            last = end[middle]
+            if get(piece[i:last]) != rank:
+                continue
+            end[i], end[middle] = last, 0
+            if last < n:
+                before[last] = i
+                if (rank := get(piece[i : end[last]])) is not None:
+                    if rank in buckets:
+                        heappush(buckets[rank], i)
+                    else:
+                        buckets[rank] = [i]
+                        low[rank >> 8] |= bits[rank & 255]
+                        top |= 1 << (rank >> 8)
+            if (h := before[i]) >= 0 and (rank := get(piece[h:last])) is not None:
+                if rank in buckets:
+                    heappush(buckets[rank], h)
+                else:
+                    buckets[rank] = [h]
+                    low[rank >> 8] |= bits[rank & 255]
+                    top |= 1 << (rank >> 8)
+        out, i = [], 0
+        while i < n:
+            out.append(get(piece[i : end[i]]))
+            i = end[i]
+        return out
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -112,6 +109,8 @@ def load_ranks(path: str) -> dict[bytes, int]:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     if any(bytes([b]) not in ranks for b in range(256)):
         raise ValueError("the vocabulary lacks single bytes")
+    if array("I").itemsize != 4 or sys.byteorder != "little":
+        raise RuntimeError("ids are written as little-endian 32-bit integers")
     return ranks
 
 
@@ -119,11 +118,11 @@ class _Pieces(dict):
     """Pre-token to its ids as little-endian bytes."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+        self.merge = Merger(ranks).merge
 
     def __missing__(self, piece: str) -> bytes:
         raw = piece.encode()
-        ids = np.array(merge(raw, self.ranks), "<u4").tobytes()
+        ids = array("I", self.merge(raw)).tobytes()
         if len(raw) <= CACHE_TOKEN_BYTES:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
@@ -131,23 +130,48 @@ class _Pieces(dict):
         return ids
 
 
+class _Spaced(dict):
+    """Text after a single space, up to the next one, to the ids of the space and the text."""
+
+    def __init__(self, pieces: _Pieces, find):
+        self.pieces, self.find = pieces, find
+
+    def __missing__(self, text: str) -> bytes:
+        ids = b"".join(map(self.pieces.__getitem__, self.find(" " + text)))
+        if len(text) <= CACHE_TOKEN_BYTES:
+            if len(self) >= CACHE_ENTRIES:
+                self.clear()
+            self[text] = ids
+        return ids
+
+
+# Where a single space stands between other characters, a match ends before it: the space leads the next match.
+_SPACE = re.compile(r"(?<=\S) (?=\S)")
+
+
 class Codec:
-    """Encoder and decoder for one vocabulary file and pre-token pattern."""
+    """Encoder and decoder for one vocabulary file and pre-token pattern.
+
+    The pattern must take a single space together with what follows it, as its
+    alternatives `` ?x+`` do; texts are cut there first, so that common words need no matching.
+    """
 
     def __init__(self, path: str, pattern: str):
         self.ranks = load_ranks(path)
         # White space as Unicode defines it; the module's own class also takes the separators U+001C to U+001F.
-        self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.find = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")).findall
         self.pieces = _Pieces(self.ranks)
+        self.spaced = _Spaced(self.pieces, self.find)
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.pattern.findall(text)))
+        first, *rest = _SPACE.split(text)
+        return b"".join(map(self.pieces.__getitem__, self.find(first))) + b"".join(map(self.spaced.__getitem__, rest))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return b"".join(map(self.tokens.__getitem__, array("I", ids)))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
