@@ -20,8 +20,8 @@ def _number(x: float | int) -> str:
     if isinstance(x, bool):
         return "true" if x else "false"
     x = float(x)
-    if x == int(x) and abs(x) < 1e21:
-        return str(int(x))
+    if x == 0:
+        return "0"
     digits, exp = f"{x!r}", 0
     if "e" in digits:
         digits, _, e = digits.partition("e")
@@ -80,7 +80,7 @@ def canonical_json_native(text: Column) -> Column:
 
 def record_hash(envelope: Column, native: bool = False) -> Column:
     """F2. SHA-256 of the canonical envelope without the delivery keys."""
-    fields = F.try_parse_json(envelope).cast("map<string,variant>")
+    fields = F.try_variant_get(F.try_parse_json(envelope), "$", "map<string,variant>")
     kept = F.to_json(F.map_filter(fields, lambda k, _: ~k.isin(C.HASH_EXCLUDED)))
     return F.sha2(canonical_json_native(kept) if native else canonical_json(kept), 256)
 

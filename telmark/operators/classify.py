@@ -92,39 +92,52 @@ def _verdict(df: DataFrame, top: Column) -> DataFrame:
     return df.withColumns({"quality_status": status, "reason_codes": reasons})
 
 
-def fold(state: dict, row: dict) -> tuple[str, str | None, list[str]]:
-    """One record against the accepted ones of its state, in arrival order; a blocked record leaves no trace.
+class DictStore:
+    """What ``fold`` remembers, in dictionaries. A streaming store has the same two methods."""
 
-    ``state`` maps record ids to hashes, and identities to their revisions, terminal state, sequences and largest sequence.
+    def __init__(self) -> None:
+        self.values: dict[tuple[str, str], str] = {}
+
+    def get(self, kind: str, key: str) -> str | None:
+        return self.values.get((kind, key))
+
+    def put(self, kind: str, key: str, value: str) -> None:
+        self.values[kind, key] = value
+
+
+def fold(store: DictStore, row: dict) -> tuple[str, str | None, list[str]]:
+    """One record against the accepted ones in the store, in arrival order; a blocked record leaves no trace.
+
+    Returns the outcome, the accepted hash of a repeated record id, and reason codes.
     """
-    known = state["records"].get(row["record_id"])
+    h, identity = row["record_hash"], row["identity"]
+    known = store.get("record", row["record_id"])
     if known is not None:
-        return ("duplicate" if known == row["record_hash"] else "conflict"), known, []
-    identity, h = row["identity"], row["record_hash"]
+        return ("duplicate" if known == h else "conflict"), known, []
     if identity is None:
-        state["records"][row["record_id"]] = h
+        store.put("record", row["record_id"], h)
         return "not_applicable", None, []
-    own = state["identities"].setdefault(identity, {"revisions": {}, "terminal": None, "sequences": {}, "top": None})
     rev, term, seq = row["revision"], row["terminal"], row["provider_event_sequence"]
     seq = None if seq is None or seq != seq else int(seq)
-    if rev is not None and own["revisions"].get(rev, h) != h:
+    rev_key, seq_key = f"{identity}{SEPARATOR}{rev}", f"{identity}{SEPARATOR}{seq}"
+    if rev is not None and (store.get("revision", rev_key) or h) != h:
         return "semantic_conflict", None, [REVISION]
-    if term is not None and own["terminal"] is not None and own["terminal"] != term:
+    if term is not None and (store.get("terminal", identity) or term) != term:
         return "semantic_conflict", None, [TERMINAL]
-    reasons = []
+    reasons, top = [], store.get("top", identity)
     if seq is not None:
-        if own["sequences"].get(seq, h) != h:
+        if (store.get("sequence", seq_key) or h) != h:
             return "semantic_conflict", None, [SEQUENCE]
-        if own["top"] is not None:
-            reasons = [OUT_OF_ORDER] if seq < own["top"] else [GAP] if seq > own["top"] + 1 else []
+        if top is not None:
+            reasons = [OUT_OF_ORDER] if seq < int(top) else [GAP] if seq > int(top) + 1 else []
     if rev is not None:
-        own["revisions"][rev] = h
+        store.put("revision", rev_key, h)
     if term is not None:
-        own["terminal"] = term
+        store.put("terminal", identity, term)
     if seq is not None:
-        own["sequences"][seq] = h
-        own["top"] = seq if own["top"] is None else max(seq, own["top"])
-    state["records"][row["record_id"]] = h
+        store.put("sequence", seq_key, h)
+        store.put("top", identity, str(seq if top is None else max(seq, int(top))))
+    store.put("record", row["record_id"], h)
     return ("accepted_with_quality_issue" if reasons else "accepted"), None, reasons
 
 
@@ -138,9 +151,9 @@ def assess_sequential(records: DataFrame, key: str = "provider_id") -> DataFrame
     Use it where blocked first arrivals may come again; the windowed form scales better for hot providers.
     """
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        state: dict = {"records": {}, "identities": {}}
+        store = DictStore()
         pdf = pdf.astype(object).where(pdf.notna(), None).sort_values("arrival_seq")
-        rows = [(r["arrival_seq"], *fold(state, r)) for r in pdf.to_dict("records")]
+        rows = [(r["arrival_seq"], *fold(store, r)) for r in pdf.to_dict("records")]
         return pd.DataFrame(rows, columns=["arrival_seq", "outcome", "accepted_hash", "reason_codes"])
 
     verdicts = records.select(*FOLD_COLUMNS).groupBy(key).applyInPandas(run, FOLD_SCHEMA)
