@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, SparkSession
@@ -85,12 +85,19 @@ def record_hash(envelope: Column, native: bool = False) -> Column:
     return F.sha2(canonical_json_native(kept) if native else canonical_json(kept), 256)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, wherever the expression stands."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def uuid_v5(name: Column) -> Column:
     """F3. Version 5 UUID of a name in the contract's namespace."""
-    h = F.sha1(F.concat(F.unhex(F.lit(C.UUID_NAMESPACE)), F.encode(name, "UTF-8")))
-    part = lambda a, n: F.substring(h, a, n)
-    variant = F.substring(F.lit("89ab"), F.pmod(F.conv(part(17, 1), 16, 10).cast("int"), F.lit(4)) + 1, F.lit(1))
-    return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(18, 3), F.lit("-"), part(21, 12))
+    def text(h: Column) -> Column:
+        part = lambda a, n: F.substring(h, a, n)
+        variant = F.substring(F.lit("89ab89ab89ab89ab"), F.instr(F.lit("0123456789abcdef"), part(17, 1)), F.lit(1))
+        return F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-5"), part(14, 3), F.lit("-"), variant, part(18, 3), F.lit("-"), part(21, 12))
+
+    return let(F.sha1(F.concat(F.unhex(F.lit(C.UUID_NAMESPACE)), F.encode(name, "UTF-8"))), text)
 
 
 def fact_id(record_id: Column, record_type: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,25 +34,28 @@ def derive_relations() -> Column:
     """
     corr = F.col("correlation")
     task, provider = S.first_ref(F.col("entity_refs"), "task", "urn"), S.first_ref(F.col("entity_refs"), "provider", "urn")
-    local = F.coalesce(task, provider)
-
-    def edges(ids: str, kind: str, relation: str, target: Column) -> Column:
-        def edge(i: Column) -> Column:
-            source = S.entity_urn(F.col("tenant_id"), F.lit(C.ORIGIN_SYSTEM), corr["origin_deployment_id"], F.lit(kind), i)
-            return F.struct(
-                S.relation_id(F.col("fact_id"), source, target, F.lit(relation)).alias("relation_id"), F.lit(relation).alias("relation_type"), F.lit(1).alias("relation_version"),
-                F.col("tenant_id").alias("tenant_id"), F.col("project_id").alias("project_id"), source.alias("source_entity_urn"), target.alias("target_entity_urn"),
-                F.lit(C.ORIGIN_SYSTEM).alias("source_system"), F.lit(C.SOURCE_SYSTEM).alias("target_system"), F.col("occurred_at").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
-                corr["correlation_id"].alias("correlation_id"), corr["trace_id"].alias("trace_id"), F.col("fact_id").alias("causation_fact_id"), corr["route_id"].alias("route_id"),
-                corr["attempt_no"].try_cast("int").alias("attempt_no"), F.array(F.col("fact_id")).alias("evidence_fact_ids"), F.lit("provider_correlation_metadata").alias("binding_source"),
-                F.lit("traced").alias("confidence_class"), F.col("source_record_id").alias("source_record_id"), F.col("source_record_hash").alias("source_record_hash"),
-                F.col("received_at").alias("created_at"), F.lit(C.RELATION_PROJECTION_ID).alias("projection_id"), F.lit(C.RELATION_PROJECTION_VERSION).alias("projection_version"),
-            )
-
-        return F.transform(corr[ids], edge)
-
-    made = F.concat(edges("origin_task_ids", "task", "invokes", local), edges("origin_invocation_ids", "invocation", "delegates_to", local), edges("origin_runtime_ids", "runtime", "served_by", F.coalesce(provider, local)))
-    return F.when((corr["origin_system"] == C.ORIGIN_SYSTEM) & local.isNotNull(), made).otherwise(F.filter(made, lambda _: F.lit(False)))
+
+    def source(kind: str, relation: str, to: str) -> Callable[[Column], Column]:
+        return lambda i: F.struct(S.entity_urn(F.col("tenant_id"), F.lit(C.ORIGIN_SYSTEM), corr["origin_deployment_id"], F.lit(kind), i).alias("source"), F.lit(relation).alias("relation"), F.lit(to).alias("to"))
+
+    def edge(x: Column, ends: Column) -> Column:
+        target = F.when(x["to"] == "local", F.coalesce(ends["task"], ends["provider"])).otherwise(F.coalesce(ends["provider"], ends["task"]))
+        return F.struct(
+            S.relation_id(F.col("fact_id"), x["source"], target, x["relation"]).alias("relation_id"), x["relation"].alias("relation_type"), F.lit(1).alias("relation_version"),
+            F.col("tenant_id").alias("tenant_id"), F.col("project_id").alias("project_id"), x["source"].alias("source_entity_urn"), target.alias("target_entity_urn"),
+            F.lit(C.ORIGIN_SYSTEM).alias("source_system"), F.lit(C.SOURCE_SYSTEM).alias("target_system"), F.col("occurred_at").alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"),
+            corr["correlation_id"].alias("correlation_id"), corr["trace_id"].alias("trace_id"), F.col("fact_id").alias("causation_fact_id"), corr["route_id"].alias("route_id"),
+            corr["attempt_no"].try_cast("int").alias("attempt_no"), F.array(F.col("fact_id")).alias("evidence_fact_ids"), F.lit("provider_correlation_metadata").alias("binding_source"),
+            F.lit("traced").alias("confidence_class"), F.col("source_record_id").alias("source_record_id"), F.col("source_record_hash").alias("source_record_hash"),
+            F.col("received_at").alias("created_at"), F.lit(C.RELATION_PROJECTION_ID).alias("projection_id"), F.lit(C.RELATION_PROJECTION_VERSION).alias("projection_version"),
+        )
+
+    sources = F.concat(
+        F.transform(corr["origin_task_ids"], source("task", "invokes", "local")), F.transform(corr["origin_invocation_ids"], source("invocation", "delegates_to", "local")), F.transform(corr["origin_runtime_ids"], source("runtime", "served_by", "provider"))
+    )
+    # Records of other origins have no edges, and their ids are not looked at.
+    wanted = F.when(corr["origin_system"].eqNullSafe(C.ORIGIN_SYSTEM) & F.coalesce(task, provider).isNotNull(), sources).otherwise(F.filter(sources, lambda _: F.lit(False)))
+    return S.let(F.struct(task.alias("task"), provider.alias("provider")), lambda ends: F.transform(wanted, lambda x: edge(x, ends)))
 
 
 def normalize(accepted: DataFrame, now: Column) -> DataFrame:
