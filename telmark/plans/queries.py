@@ -221,7 +221,7 @@ def _(spark, sf):
     return landing(spark, sf).select("tenant_id", "source_record_id", "source_record_hash", "record_type", "priority", "task_id", "resource_id", "provider_event_sequence", "trace_id", "ingested_at", "attributes_json", "payload_json", "ingest_version")
 
 
-@query("p17_canonical_row", "SELECT fact_id, record_id AS source_record_id, tenant_id, runtime_urn AS source_instance_urn, epoch_ms(normalized_at) AS normalized_at, 4 AS mapping_version, 3 AS normalizer_version, CASE WHEN src % 4 = 0 THEN 'sdar' END AS origin FROM facts")
+@query("p17_canonical_row", "SELECT fact_id, record_id AS source_record_id, tenant_id, runtime_urn AS source_instance_urn, epoch_ms(normalized_at) AS normalized_at, CAST(4 AS BIGINT) AS mapping_version, CAST(3 AS BIGINT) AS normalizer_version, CASE WHEN src % 4 = 0 THEN 'sdar' END AS origin FROM facts")
 def _(spark, sf):
     return project.canonical_rows(facts(spark, sf)).select("fact_id", "source_record_id", "tenant_id", "source_instance_urn", "normalized_at", "mapping_version", "normalizer_version", F.get_json_object("correlation_json", "$.origin_system").alias("origin"))
 
@@ -338,7 +338,7 @@ def _(spark, sf):
     return _latest(serving.provider_current_health(core(spark, sf, "resource_health_fact")))
 
 
-_A4 = "SELECT 'core-smpp-v1' AS projection_id, 1 AS projection_version, epoch_ms(max(projected_at)) AS data_watermark, count(*) AS projected_facts FROM core"
+_A4 = "SELECT 'core-smpp-v1' AS projection_id, CAST(1 AS BIGINT) AS projection_version, epoch_ms(max(projected_at)) AS data_watermark, count(*) AS projected_facts FROM core"
 
 
 @query("a4_projection_watermark", _A4)
@@ -626,7 +626,7 @@ def _(spark, sf):
     return relations(spark, sf).select(F.col("causation_fact_id").alias("fact_id"), "relation_type", "source_entity_urn", "target_entity_urn")
 
 
-@query("n5_relation_fact", "SELECT relation_id, 'traced' AS confidence_class, 'provider_correlation_metadata' AS binding_source, fact_id AS evidence_fact_ids, epoch_ms(occurred_at) AS valid_from, epoch_ms(received_at) AS created_at, 2 AS projection_version FROM rel")
+@query("n5_relation_fact", "SELECT relation_id, 'traced' AS confidence_class, 'provider_correlation_metadata' AS binding_source, fact_id AS evidence_fact_ids, epoch_ms(occurred_at) AS valid_from, epoch_ms(received_at) AS created_at, CAST(2 AS BIGINT) AS projection_version FROM rel")
 def _(spark, sf):
     return relations(spark, sf).select("relation_id", "confidence_class", "binding_source", "evidence_fact_ids", "valid_from", "created_at", "projection_version")
 
