@@ -7,13 +7,15 @@ the upper corners of two R-tree nodes; node pairs whose bound, sizes or componen
 out are cut. What is left is verified on the full sets.
 
 To spread the index over tasks, classes meet in blocks: each goes to the blocks of its
-``n - ceil(t n) + 1`` smallest token hashes, one of which any two linked classes share. Blocks with
-the same members are worked once. An R-tree is packed per block.
+``n - ceil(t n) + 1`` first tokens, one of which any two linked classes share. Tokens are ordered by
+hash, but up to ``FREQUENT_TOKENS`` that occur most come last; the order is a hint that only
+saves work, any fixed one is exact. Blocks with the same members are worked once. An R-tree is packed per block.
 
-A link inside a component already found changes no component, so the search runs twice: first
-neighbours in a block's order only, which joins dense groups; then all pairs of different
-components. No pair is lost between components, and groups of near copies do not make a square
-of pairs. Only pairs whose bound passes are emitted.
+A link inside a component already found changes no component, so the search runs three times:
+neighbours in a block's order; each class's best partner of another component; then all pairs
+of different components, each in the first block it shares. No pair is lost between
+components, and groups of near copies do not make a square of pairs. Only pairs whose bound
+passes are emitted.
 
 Defined results: words are split at ASCII white space, A-Z lower-cased. Null, empty and
 wordless texts have no shingles, link with nothing and are their own component. Rows that
@@ -27,16 +29,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telmark.llm.shared import connected_components, durable
 from telmark.llm.text_hash import mix, shingle_sets, string_buffers
 
-GROUPS = 16
+GROUPS = 128
 LEAF = 32
 LIST_ROWS = 4096
 PAIR_BATCH = 200_000
+BROADCAST_ROWS = 100_000
+FREQUENT_IN_BATCH = 4
+FREQUENT_TOKENS = 200_000
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -50,25 +56,57 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
 
 
 def _point(s: np.ndarray) -> bytes:
-    return np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype("<u4").tobytes()
+    """Counts by group in a byte each, over the scale in the last four; rounded up, so that bounds stay bounds."""
+    counts = np.bincount((s & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
+    scale = max(1, -(-int(counts.max(initial=0)) // 255))
+    return (-(-counts // scale)).astype(np.uint8).tobytes() + np.array([scale, len(s)], "<u4").tobytes()
 
 
-def _sets(k: int, percent: int | None):
-    """Rows to sizes and signatures; with ``percent`` also prefixes."""
+def _unpack(points: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by group, not below the true ones, and set sizes."""
+    raw = np.frombuffer(b"".join(points), np.uint8).reshape(-1, GROUPS + 8)
+    tail = np.ascontiguousarray(raw[:, GROUPS:]).view("<u4").astype(np.int32)
+    return raw[:, :GROUPS].astype(np.int32) * tail[:, :1], tail[:, 1].astype(np.int64)
+
+
+def _sizes(k: int):
+    """Rows to sizes and signatures (kind 0), and tokens that several rows of a batch have, with how many (kind 1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["kind", "doc", "tag", "n", "s1", "s2"]
+        for batch in batches:
+            sets = list(shingle_sets(*string_buffers(batch.column("text")), k))
+            sig = [_signature(s) for s in sets]
+            zeros = np.zeros(len(sets), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(zeros), batch.column("doc"), batch.column("tag"), pa.array([len(s) for s in sets], pa.int64()), pa.array([x for x, _ in sig], pa.int64()), pa.array([x for _, x in sig], pa.int64())], names=names)
+            # Equal sets are one class and count once.
+            whole = np.sort(np.concatenate([*{g: s for g, s in zip(sig, sets, strict=True)}.values(), np.zeros(0, np.uint64)]))
+            start = np.flatnonzero(np.r_[True, whole[1:] != whole[:-1]]) if len(whole) else np.zeros(0, np.int64)
+            count = np.diff(np.r_[start, len(whole)])
+            some = np.flatnonzero(count >= FREQUENT_IN_BATCH)
+            token = whole[start[some]].view(np.int64)
+            zeros = np.zeros(len(some), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(zeros + 1), pa.array(zeros), pa.array(token), pa.array(count[some].astype(np.int64)), pa.array(zeros), pa.array(zeros)], names=names)
+
+    return run
+
+
+def _sets(k: int, percent: int, frequent: Broadcast):
+    """Rows to sizes, signatures, points and prefixes: the rarest tokens first, as far as that is known, then by hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = frequent.value
         for batch in batches:
-            ns, sig, prefixes = [], [], []
+            ns, sig, points, prefixes = [], [], [], []
             for s in shingle_sets(*string_buffers(batch.column("text")), k):
                 ns.append(len(s))
                 sig.append(_signature(s))
-                if percent is not None:
-                    prefixes.append(s[: prefix_length(len(s), percent)].tobytes())
-            cols = [batch.column("doc"), batch.column("tag"), pa.array(ns, pa.int64()), pa.array([x for x, _ in sig], pa.int64()), pa.array([x for _, x in sig], pa.int64())]
-            names = ["doc", "tag", "n", "s1", "s2"]
-            if percent is not None:
-                cols, names = [*cols, pa.array(prefixes, pa.binary())], [*names, "prefix"]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                points.append(_point(s))
+                at = np.searchsorted(common, s)
+                late = common[np.minimum(at, len(common) - 1)] == s if len(common) else np.zeros(len(s), bool)
+                prefixes.append(np.concatenate([s[~late], s[late]])[: prefix_length(len(s), percent)].tobytes())
+            cols = [batch.column("doc"), batch.column("tag"), pa.array(ns, pa.int64()), pa.array([x for x, _ in sig], pa.int64()), pa.array([x for _, x in sig], pa.int64()), pa.array(points, pa.binary()), pa.array(prefixes, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc", "tag", "n", "s1", "s2", "point", "prefix"])
 
     return run
 
@@ -125,8 +163,8 @@ class RTree:
     all its points share one.
     """
 
-    def __init__(self, points: np.ndarray, comp: np.ndarray):
-        self.points, self.size, self.comp = points, points.sum(1), comp
+    def __init__(self, points: np.ndarray, size: np.ndarray, comp: np.ndarray):
+        self.points, self.size, self.comp = points, size, comp
         m = len(points)
         self.order = np.arange(m)
         slices = [(0, m)]
@@ -198,32 +236,60 @@ class RTree:
                 stack.append((self.kids[i[leaf_j]].ravel(), np.repeat(j[leaf_j], 2)))
 
 
-def _candidates(percent: int, every: bool):
-    """Members sorted by block to pairs ``(a, b)``: neighbours in the order, or all of different components."""
+def _candidates(percent: int, mode: str):
+    """Members sorted by block to pairs ``(a, b)`` whose bound allows a link.
 
-    def work(rep: np.ndarray, comp: np.ndarray, points: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if every:
-            for a, b in RTree(points, comp).pairs(percent):
-                yield rep[a], rep[b]
-            return
-        size = points.sum(1)
-        order = np.lexsort((*points.T, size))
-        for step in (1, 2):
-            a, b = order[:-step], order[step:]
+    ``next``: neighbours in the block's order. ``best``: of the pairs of different components the
+    one with the largest bound for each member. ``every``: all of them, each pair in the first
+    block that it shares only.
+    """
+
+    def work(block: int, rep: np.ndarray, comp: np.ndarray, points: np.ndarray, size: np.ndarray, blocks: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if mode == "next":
+            order = np.lexsort((*points[:, :8].T, size))
+            a, b = order[:-1], order[1:]
             over = np.minimum(points[a], points[b]).sum(1)
             ok = over * (100 + percent) >= percent * (size[a] + size[b])
             yield rep[a[ok]], rep[b[ok]]
+            return
+        if (comp == comp[0]).all():
+            return
+        earlier: dict[int, frozenset] = {}
+
+        def before(i: int) -> frozenset:
+            if i not in earlier:
+                earlier[i] = frozenset(x for x in blocks[i] if x < block)
+            return earlier[i]
+
+        best, with_ = np.full(len(rep), -1.0), np.zeros(len(rep), np.int64)
+        for a, b in RTree(points, size, comp).pairs(percent):
+            if mode == "every":
+                new = np.fromiter((before(i).isdisjoint(before(j)) for i, j in zip(a.tolist(), b.tolist(), strict=True)), bool, len(a))
+                yield rep[a[new]], rep[b[new]]
+                continue
+            share = np.minimum(points[a], points[b]).sum(1) / (size[a] + size[b])
+            for x, y in ((a, b), (b, a)):
+                order = np.argsort(share, kind="stable")
+                better = share > best[x]
+                # Of several pairs of one member the last written has the largest share.
+                w = order[better[order]]
+                best[x[w]], with_[x[w]] = share[w], y[w]
+        if mode == "best":
+            got = np.flatnonzero(best >= 0)
+            yield rep[got], rep[with_[got]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            f1, f2, rep, comp, points = cols
-            cut = np.flatnonzero(np.r_[True, (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])]) if len(f1) else []
-            found = []
-            for s, e in zip(cut, np.r_[cut[1:], len(f1)] if len(f1) else [], strict=True):
-                found += work(rep[s:e], comp[s:e], points[s:e])
-                if sum(len(a) for a, _ in found) > PAIR_BATCH:
-                    yield emit(found)
-                    found = []
+        def close(cols: list[np.ndarray], lists: list) -> Iterator[pa.RecordBatch]:
+            f1, f2, rep, comp, points, size = cols
+            cut = np.flatnonzero(np.r_[True, (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])])
+            found, n = [], 0
+            for s, e in zip(cut, np.r_[cut[1:], len(f1)], strict=True):
+                for a, b in work(int(f1[s]), rep[s:e], comp[s:e], points[s:e], size[s:e], lists[s:e]):
+                    found.append((a, b))
+                    n += len(a)
+                    if n > PAIR_BATCH:
+                        yield emit(found)
+                        found, n = [], 0
             if found:
                 yield emit(found)
 
@@ -233,89 +299,96 @@ def _candidates(percent: int, every: bool):
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
         held: list[np.ndarray] = []
+        lists: list = []
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [batch.column(c).to_numpy() for c in ("f1", "f2", "rep", "comp")]
-            cols.append(np.frombuffer(b"".join(batch.column("point").to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64))
+            cols += _unpack(batch.column("point").to_pylist())
             held = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
+            lists += batch.column("blocks").to_pylist() if mode == "every" else [None] * batch.num_rows
             f1, f2 = held[0], held[1]
             last = int(np.flatnonzero(np.r_[True, (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])])[-1])
             if last:
-                yield from close([c[:last] for c in held])
-                held = [c[last:] for c in held]
+                yield from close([c[:last] for c in held], lists[:last])
+                held, lists = [c[last:] for c in held], lists[last:]
         if held:
-            yield from close(held)
-
-    return run
-
-
-def _full_sets(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(shingle_sets(*string_buffers(batch.column("text")), k))
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), pa.array([_point(x) for x in sets], pa.binary()), pa.array([x.tobytes() for x in sets], pa.binary())], names=["rep", "point", "tokens"])
+            yield from close(held, lists)
 
     return run
 
 
-def _verify(percent: int):
+def _verify(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                u, v = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            for u, v in zip(*(shingle_sets(*string_buffers(batch.column(c)), k) for c in ("x", "y")), strict=True):
                 both = len(np.intersect1d(u, v, assume_unique=True))
                 keep.append(100 * both >= percent * (len(u) + len(v) - both))
-            picked = batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-            yield picked
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _pairs(members: DataFrame, points: DataFrame, comp: DataFrame | None, percent: int) -> DataFrame:
+def _pairs(members: DataFrame, points: DataFrame, comp: DataFrame | None, percent: int, mode: str) -> DataFrame:
     m = members.select("f1", "f2", "rep").join(points, "rep")
+    if mode == "every":
+        # A class is in as many blocks as its prefix has shared hashes, a share of its own length.
+        m = m.join(members.groupBy("rep").agg(F.collect_list("f1").alias("blocks")), "rep")
+    else:
+        m = m.withColumn("blocks", F.lit(None).cast("array<bigint>"))
     if comp is None:
         m = m.withColumn("comp", F.col("rep"))
     else:
         m = m.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    m = m.select("f1", "f2", "rep", "comp", "point").repartition("f1", "f2").sortWithinPartitions("f1", "f2", "rep")
-    return m.mapInArrow(_candidates(percent, comp is not None), "a long, b long").distinct()
+    m = m.select("f1", "f2", "rep", "comp", "point", "blocks").repartition("f1", "f2").sortWithinPartitions("f1", "f2", "rep")
+    return m.mapInArrow(_candidates(percent, mode), "a long, b long").distinct()
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    x = sets.select(F.col("rep").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(percent), "a long, b long")
+def _linked(pairs: DataFrame, classes: DataFrame, live: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs of classes whose texts' sets reach the threshold."""
+    pairs = durable(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    needed = durable(classes.join(wanted, "rep"))
+    # Broadcast behind a count, so that the texts need no shuffle; beyond it the join shuffles.
+    side = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
+    texts = live.join(side, ["doc", "tag"]).select("rep", "text")
+    x = texts.select(F.col("rep").alias("a"), F.col("text").alias("x"))
+    y = texts.select(F.col("rep").alias("b"), F.col("text").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify(k, percent), "a long, b long")
 
 
 def near_duplicate_components(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every row; a link is Jaccard of at least ``percent`` in a hundred."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    sized = durable(own.mapInArrow(_sets(k, None), "doc long, tag long, n long, s1 long, s2 long"))
+    counted = durable(own.mapInArrow(_sizes(k), "kind long, doc long, tag long, n long, s1 long, s2 long"))
+    sized = counted.filter("kind = 0").drop("kind")
+    # Any fixed order of tokens is exact; putting frequent ones last keeps passages that many documents share out of the prefixes.
+    top = counted.filter("kind = 1").groupBy("tag").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "tag").limit(FREQUENT_TOKENS).select("tag").toArrow()
+    frequent = docs.sparkSession.sparkContext.broadcast(np.sort(top.column("tag").to_numpy().astype(np.int64).view(np.uint64)))
     has = sized.filter("n > 0 AND doc IS NOT NULL")
     # A class of equal sets is named by its signature and stands for its smallest document.
     classes = has.groupBy(F.col("s1").alias("rep")).agg(F.min(F.struct("doc", "tag")).alias("r")).select("rep", F.col("r.doc").alias("doc"), F.col("r.tag").alias("tag"))
     live = own.filter(F.col("doc").isNotNull())
-    full = live.mapInArrow(_sets(k, percent), "doc long, tag long, n long, s1 long, s2 long, prefix binary").filter("n > 0")
-    heads = full.groupBy(F.col("s1").alias("rep")).agg(F.min_by("prefix", F.struct("doc", "tag")).alias("prefix"))
-    posted = heads.mapInArrow(_postings, "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
+    full = live.mapInArrow(_sets(k, percent, frequent), "doc long, tag long, n long, s1 long, s2 long, point binary, prefix binary").filter("n > 0")
+    first = lambda c: F.min_by(c, F.struct("doc", "tag")).alias(c)
+    heads = durable(full.groupBy(F.col("s1").alias("rep")).agg(first("point"), first("prefix")))
+    posted = heads.select("rep", "prefix").mapInArrow(_postings, "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
     blocks = posted.mapInArrow(_blocks, "f1 long, f2 long, members long, piece int, reps binary").dropDuplicates(["f1", "f2", "piece"])
     members = durable(blocks.mapInArrow(_members, "f1 long, f2 long, members long, rep long"))
-    shared = classes.join(members.select("rep").distinct(), "rep")
-    texts = live.join(shared, ["doc", "tag"]).select("rep", "text")
-    sets = durable(texts.mapInArrow(_full_sets(k), "rep long, point binary, tokens binary"))
-    points = sets.select("rep", "point")
+    points = heads.select("rep", "point")
     again = has.select("doc", F.col("s1").alias("b")).distinct()
     again = again.join(again.groupBy("doc").agg(F.min("b").alias("a"), F.count("*").alias("c")).filter("c > 1"), "doc").select("a", "b")
-    comp1 = durable(connected_components(_linked(_pairs(members, points, None, percent), sets, percent).unionByName(again)))
-    more = _linked(_pairs(members.filter("members > 2"), points, comp1, percent), sets, percent)
-    of = lambda side: comp1.select(F.col("node").alias(side), F.col("component").alias("c" + side))
-    more = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    comp2 = connected_components(more).select(F.col("node").alias("root1"), F.col("component").alias("root2"))
-    rooted = classes.select("rep", "doc").join(comp1.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "doc", F.coalesce("component", "rep").alias("root1"))
-    rooted = rooted.join(comp2, "root1", "left").select("rep", "doc", F.coalesce("root2", "root1").alias("root"))
+    # First one neighbour of each class, then the best partner in another component: enough to join groups of near copies.
+    near = _pairs(members, points, None, percent, "next").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    edges = durable(_linked(near, classes, live, k, percent).unionByName(again))
+    comp = durable(connected_components(edges))
+    for mode in ("best", "every"):
+        more = durable(_linked(_pairs(members, points, comp, percent, mode), classes, live, k, percent))
+        edges = edges.unionByName(more)
+        comp = durable(connected_components(edges))
+    rooted = classes.select("rep", "doc").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "doc", F.coalesce("component", "rep").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("least"))
     labels = rooted.join(least, "root").select("rep", "least")
     out = sized.join(labels, (sized["s1"] == labels["rep"]) & (sized["n"] > 0) & sized["doc"].isNotNull(), "left")

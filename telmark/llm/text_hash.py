@@ -107,7 +107,7 @@ def words(offsets: np.ndarray, raw: np.ndarray) -> Iterator[tuple[int, int, np.n
 
     A row longer than a chunk is cut at white space, so memory stays near its own size.
     """
-    for i, j in chunks(offsets):
+    for i, j in chunks(offsets, CHUNK_BYTES):
         lo, hi = int(offsets[i]), int(offsets[j])
         if hi - lo <= 2 * CHUNK_BYTES:
             h, r = _words_of(raw[lo:hi], offsets[i : j + 1] - lo)
