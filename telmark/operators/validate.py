@@ -49,8 +49,8 @@ def validate_ingress(df: DataFrame, require_collector: bool = True, allowed_ids:
 
 
 def _tokens(text: Column) -> Column:
-    """String tokens of a JSON text, keys with their colon."""
-    return F.regexp_extract_all(text, F.lit(r'("(?:[^"\\]|\\.)*"\s*:?)'), F.lit(1))
+    """String tokens of a JSON text, keys with their colon. The pattern neither backtracks nor recurses per character."""
+    return F.regexp_extract_all(text, F.lit(r'("[^"\\]*+(?:(?:\\.)++[^"\\]*+)*+"\s*:?)'), F.lit(1))
 
 
 def _keys(text: Column) -> Column:
