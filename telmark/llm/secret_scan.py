@@ -2,8 +2,8 @@
 
 A text is layer 0. Each layer is scanned, then its encoded stretches are unwrapped into new
 layers: percent escapes, ``\\uXXXX``, ``\\xXX`` and ``&#NN;`` escapes, base64 (both alphabets),
-and gzip, zlib or bzip2 inside base64. A layer met before is not entered again, so the
-worklist ends at a fixpoint. A finding in an inner layer is mapped to the stretch of the
+and gzip, zlib or bzip2 inside base64. A layer met before over the same stretch of the text is not
+entered again, so the worklist ends at a fixpoint. A finding in an inner layer is mapped to the stretch of the
 original text it came from: character by character through escapes, the whole encoded run
 through base64.
 
@@ -174,7 +174,7 @@ def scan_text(text: str) -> list[tuple[str, int, int, int, str]]:
     found = [(k, s, e, 0, "") for k, s, e in scan_layer(text)]
     known = {(k, s, e) for k, s, e, _, _ in found}
     work: list[tuple[str, object, int, str]] = [(text, None, 0, "")]
-    met = {hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest()}
+    met = {(hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), 0, len(text))}
     while work:
         layer, where, depth, via = work.pop()
         to_text = where if where is not None else (lambda s, e: (s, e))
@@ -190,9 +190,11 @@ def scan_text(text: str) -> list[tuple[str, int, int, int, str]]:
                 continue
             inner.append((new, lambda s, e, at=span: at, how))
         for new, up, how in inner:
-            digest = hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest()
-            # The same payload at another place is another finding; the same on one way inward is a cycle.
-            mark = digest if how == "escape" else digest + repr(up(0, 1)).encode()
+            if not new:
+                continue
+            # The same payload at another place is another finding. Escapes only shorten and a run has one span
+            # for all it holds, so the same over the same stretch is a cycle, or repeats what was found.
+            mark = (hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(), *up(0, len(new)))
             if mark in met:
                 continue
             met.add(mark)
@@ -218,11 +220,11 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def redact(text: str) -> str:
-    """The text with every finding, merged where they overlap, replaced by ``[SECRET]``; repeated until none is left."""
-    for _ in range(8):
-        spans = sorted((s, e) for _, s, e, _, _ in scan_text(text))
-        if not spans:
-            return text
+    """The text with every finding, merged where they overlap, replaced by ``[SECRET]``; repeated until none is left.
+
+    No finding can hold a bracket, so each round takes away characters of the given text and the rounds end.
+    """
+    while spans := sorted((s, e) for _, s, e, _, _ in scan_text(text)):
         out, at = [], 0
         for s, e in spans:
             if s >= at:

@@ -246,3 +246,19 @@ def test_secret_query_and_redaction(make_docs, spark, tmp_path):
     assert got[2]["base_sha256"] == hashlib.sha256(b"").hexdigest()
     out = {r["doc_id"]: r["text"] for r in secret_scan.redact_documents(make_docs(rows)).collect()}
     assert out == {1: 'x [SECRET]" [SECRET]', 2: None, 3: "", 4: "nothing here"}
+
+
+def test_secret_repeated_passages():
+    run = base64.b64encode(b"%70assword%3Dhunter2hunter2").decode()
+    text = " ".join(f"{i} {run}," for i in range(12))
+    spans = {(s, e) for k, s, e, *_ in secret_scan.scan_text(text) if k == "assign"}
+    at = [i for i in range(len(text)) if text.startswith(run, i)]
+    assert spans == {(i, i + len(run)) for i in at} and len(at) == 12
+    assert secret_scan.redact(text) == " ".join(f"{i} [SECRET]," for i in range(12))
+
+
+def test_secret_redaction_ends_without_findings(monkeypatch):
+    # Each round uncovers one more finding.
+    scan = lambda t: [("assign", t.index("#"), t.index("#") + 1, 0, "")] if "#" in t else []
+    monkeypatch.setattr(secret_scan, "scan_text", scan)
+    assert secret_scan.redact("#" * 20) == "[SECRET]" * 20
