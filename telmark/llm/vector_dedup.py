@@ -3,9 +3,12 @@
 Equal vectors with equal labels are first joined into one class with a count. In each pass the
 classes of a label are ordered lexicographically by concatenated random hyperplane bits, and
 each is compared with its neighbours in a bounded window; only pairs whose exact cosine reaches
-the threshold are united, across all passes. The window bounds what a pass looks at, not the
-result: inside every component found, all pairs are compared afterwards, in blocks, so the
-number of links is exact even in groups far larger than a window. Pairs are counted, never listed.
+the threshold are united, across all passes. Windows miss some pairs, so an exact search follows
+for links between components: the classes of a label are packed into blocks in the order of the
+first pass, and block pairs meet in a nested loop, without those of one component and those whose
+balls lie too far apart. Then all pairs inside each component are compared, in blocks, so components
+and numbers of links are exact. Pairs are counted, never listed. The exact search grows with
+the square of a label's classes where balls rule nothing out.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components, and
 rows with a null label or id, link with nothing: n_links 0 and a component of their own.
@@ -15,6 +18,7 @@ table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +32,8 @@ from telmark.llm.vectors import matrix, usable
 BITS = 62
 WINDOW = 256
 BLOCK = 1024
+PACKED = 1024
+PACKS_IN_TASK = 32
 
 
 def _project(passes: int, seed: int):
@@ -93,6 +99,83 @@ def _windows(threshold: float):
     return run
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by label, dimension and code to blocks of up to ``PACKED``, each with the ball around its unit vectors."""
+
+    def close(t: pa.Table, s: int, e: int) -> tuple:
+        x = matrix(t.column("embedding").slice(s, e - s))
+        rep, comp = (t.column(c).slice(s, e - s).to_numpy() for c in ("rep", "comp"))
+        unit = _unit(x)
+        center = unit.mean(0)
+        radius = float(np.sqrt(((unit - center) ** 2).sum(1).max()))
+        one = int(comp[0]) if (comp == comp[0]).all() else None
+        return int(rep[0]), t.column("label")[s].as_py(), t.column("dim")[s].as_py(), one, center.tolist(), radius, rep.astype(np.int64).tobytes(), comp.astype(np.int64).tobytes(), x.tobytes()
+
+    schema = pa.schema([("id", pa.int64()), ("label", pa.int64()), ("dim", pa.int32()), ("one", pa.int64()), ("center", pa.list_(pa.float64())), ("radius", pa.float64()), ("reps", pa.binary()), ("comps", pa.binary()), ("vectors", pa.binary())])
+    held: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            t = pa.Table.from_batches([batch])
+            held = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+        if held is None or not len(held):
+            continue
+        group = np.stack([held.column(c).to_numpy() for c in ("label", "dim")], 1)
+        cut = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]).any(1)])
+        done = 0
+        for s, e in zip(cut, np.r_[cut[1:], len(held)], strict=True):
+            for i in range(s, e, PACKED):
+                # A block at the end may go on in the next batch.
+                if batch is None or i + PACKED <= e or e < len(held):
+                    done = min(i + PACKED, e)
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, close(held, i, done), strict=True))], schema=schema)
+        held = held.slice(done)
+
+
+def _between(threshold: float):
+    """Pairs of blocks to links that join all components the pair's links join."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a_all, b_all = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for r in batch.to_pylist():
+                x, y = (_unit(np.frombuffer(r[c]).reshape(-1, r["dim"])) for c in ("vectors", "vectors2"))
+                rep, comp = (np.concatenate([np.frombuffer(r[c], np.int64), np.frombuffer(r[c + "2"], np.int64)]) for c in ("reps", "comps"))
+                # Single precision finds what double precision decides.
+                near = x.astype(np.float32) @ y.astype(np.float32).T >= threshold - 1e-4 - 2.4e-7 * r["dim"]
+                i, j = np.nonzero(near & (comp[: len(x)][:, None] != comp[len(x) :][None, :]))
+                for at in range(0, len(i), 1 << 16):
+                    p, q = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                    ok = (x[p] * y[q]).sum(1) >= threshold
+                    a, b = rep[p[ok]], rep[len(x) + q[ok]]
+                    pair = np.c_[comp[p[ok]], comp[len(x) + q[ok]]]
+                    # One link for each pair of components is enough.
+                    some = np.unique(pair, axis=0, return_index=True)[1] if len(pair) else np.zeros(0, np.int64)
+                    a_all.append(a[some])
+                    b_all.append(b[some])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_all)), pa.array(np.concatenate(b_all))], names=["a", "b"])
+
+    return run
+
+
+def _missed_links(members: DataFrame, codes: DataFrame, threshold: float, parts: int) -> DataFrame:
+    """Links between classes of different components, at least one for each two components that have any in a block pair."""
+    comp = members.withColumnRenamed("node", "rep")
+    rows = codes.filter("pass = 0").join(comp, "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    order = ["label", "dim", "code", "rep"]
+    packs = rows.select(*order, "comp", "embedding").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    packs = durable(packs.mapInArrow(_pack, "id long, label long, dim int, one long, center array<double>, radius double, reps binary, comps binary, vectors binary"))
+    # Few blocks a partition, since the nested loop holds a partition of one side.
+    packs = durable(packs.repartition(max(1, -(-packs.count() // PACKS_IN_TASK))))
+    other = packs.select(*[F.col(c).alias(c + "2") for c in packs.columns])
+    gap = F.sqrt(F.aggregate(F.zip_with("center", "center2", lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
+    far = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
+    # Written without equalities of both sides, which would make it a join by label and put a label in one task.
+    same = (F.col("label") - F.col("label2") == 0) & (F.col("dim") - F.col("dim2") == 0)
+    open_ = F.coalesce(F.col("one") - F.col("one2") != 0, F.lit(True))
+    pairs = packs.join(other, same & (F.col("id") <= F.col("id2")) & open_ & (gap <= F.col("radius") + F.col("radius2") + F.lit(far)))
+    return pairs.select("dim", "reps", "comps", "vectors", "reps2", "comps2", "vectors2").mapInArrow(_between(threshold), "a long, b long")
+
+
 def _count_links(threshold: float):
     schema = pa.schema([("rep", pa.int64()), ("links", pa.int64())])
 
@@ -132,6 +215,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, passes: int = 8
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     edges = codes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_windows(threshold), "a long, b long")
     members = durable(connected_components(edges))
+    missed = durable(_missed_links(members, codes, threshold, parts))
+    if not missed.isEmpty():
+        members = durable(connected_components(members.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(missed)))
     sizes = members.groupBy("component").agg(F.count("*").alias("size")).filter("size > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     inside = members.withColumnRenamed("node", "rep").join(sizes, "component").join(classes.select("rep", "n", "embedding"), "rep")
     inside = inside.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

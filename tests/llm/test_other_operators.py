@@ -78,6 +78,25 @@ def test_vector_dedup_equals_brute_force(spark, monkeypatch, block):
     assert vector_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vector_dedup_finds_links_outside_of_windows(spark, monkeypatch):
+    monkeypatch.setattr(vector_dedup, "WINDOW", 1)
+    monkeypatch.setattr(vector_dedup, "PACKED", 16)
+    monkeypatch.setattr(vector_dedup, "PACKS_IN_TASK", 4)
+    rng = np.random.default_rng(5)
+    # Near copies before a common background are no neighbours in the order of one pass.
+    base = rng.normal(size=(120, 16)) * 0.35 + 1
+    near = base + rng.normal(size=base.shape) * 0.1
+    rows = [(i, [float(np.float32(v)) for v in x], i % 2, "s", "r") for i, x in enumerate(np.concatenate([base, near]))]
+    df = spark.createDataFrame(rows, VECTOR)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_duplicates(df, threshold=0.98, passes=1).collect()}
+    x = np.array([np.array(e) / np.linalg.norm(e) for _, e, *_ in rows])
+    lab = np.array([r[2] for r in rows])
+    linked = (x @ x.T >= 0.98) & (lab[:, None] == lab[None, :])
+    np.fill_diagonal(linked, False)
+    root = vector_dedup._roots(linked)
+    assert linked.any() and {i: (int(n), int(c)) for i, (n, c) in enumerate(zip(linked.sum(1), root, strict=True))} == got
+
+
 def test_url_rules_and_hosts(spark):
     urls = [
         (1, "https://www.example.com/en/x"), (2, "http://A.Example.COM/en/1?q=/fr/"), (3, "http://example.com/fr/"), (4, "x.net/es/"), (5, "http://b.net/es/1"), (6, "http://notnet/es/"), (7, None), (8, ""), (9, "http://c.com"), (10, "http://x.org#/fr/"), (11, "http://x.net/ES/"),
