@@ -9,14 +9,19 @@ through base64.
 
 Defined results: null and empty texts have no findings and the digest of an empty string.
 Repeated rows are scanned each; other columns are ignored. Texts are scanned whole, whatever their
-length. One inner layer may inflate to ``MAX_INFLATED`` bytes; a stretch that inflates further
-is reported as kind ``bomb`` over its whole run instead of being skipped silently.
+length. Bytes that are no UTF-8 and control characters are scanned with what stands around them. All
+members of compressed data are read, and what follows them; damaged data as far as it goes and as text.
+
+An inner layer of more than ``MAX_INFLATED`` bytes is scanned in pieces, and its run is reported as kind
+``bomb`` besides, since an encoded run in it that is itself longer than that, or compressed data nested in it
+deeper than ``STREAMED_LEVELS``, may not be unwrapped whole. So is gzip or bzip2 data that turns out to be damaged.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import hashlib
 import re
 import zlib
@@ -28,6 +33,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_INFLATED = 32 << 20
+PIECE = 1 << 20
+OVERLAP = 256
+STREAMED_LEVELS = 64
 MIN_BASE64 = 16
 KINDS = ("assign", "access", "hex", "bomb")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -37,6 +45,9 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _ESCAPES = re.compile(r"(?:%[0-9A-Fa-f]{2})+|\\u\{[0-9A-Fa-f]{1,6}\}|(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_BASE64)
+_SPACES = re.compile(r"\x20{17,}")
+# What an escape, a base64 run or a finding without spaces consists of.
+_RUN_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\&#;{}.:\"'"
 SCHEMA = "doc_id long, findings array<struct<kind:string,start:int,end:int,depth:int,via:string>>"
 
 
@@ -119,28 +130,129 @@ def _escaped_layer(text: str) -> tuple[str, _Map] | None:
     return "".join(parts), table
 
 
-def _inflate(raw: bytes) -> bytes | None | bool:
-    """Unwrapped bytes; None if not compressed; False beyond the bound."""
-    try:
-        if raw[:2] == b"\x1f\x8b" or (len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0):
-            d = zlib.decompressobj(47)
-            out = d.decompress(raw, MAX_INFLATED)
-            return False if d.unconsumed_tail else out
-        if raw[:3] == b"BZh":
-            b = bz2.BZ2Decompressor()
-            out = b.decompress(raw, MAX_INFLATED)
-            return out if b.eof or b.needs_input else False
-    except (zlib.error, OSError, ValueError):
-        pass
-    return None
-
-
-def _printable(raw: bytes) -> str | None:
-    try:
-        text = raw.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and not any(c < " " and c not in "\t\n\r\x0b\x0c" for c in text) else None
+def _opener(head: bytes):
+    """A decompressor for data that begins so; None if it is not compressed."""
+    if head[:2] == b"\x1f\x8b" or (len(head) > 2 and head[0] == 0x78 and (head[0] * 256 + head[1]) % 31 == 0):
+        return zlib.decompressobj(47)
+    return bz2.BZ2Decompressor() if head[:3] == b"BZh" else None
+
+
+class _Members:
+    """Compressed members one after another, unwrapped piece by piece; ``rest`` is what follows them."""
+
+    def __init__(self) -> None:
+        self.open = None
+        self.some = self.failed = self.ended = False
+        self.held, self.rest = b"", []
+
+    def feed(self, data: bytes) -> Iterator[bytes]:
+        data, self.held = self.held + data, b""
+        while data and not self.failed:
+            if self.ended:
+                self.rest.append(data)
+                return
+            if self.open is None:
+                # Zeros may fill up a member's last block.
+                data = data.lstrip(b"\0") if self.some else data
+                if len(data) < 4:
+                    self.held = data
+                    return
+                self.open = _opener(data)
+                self.ended, self.some = self.open is None, True
+                continue
+            try:
+                out = self.open.decompress(data, PIECE)
+                if isinstance(self.open, bz2.BZ2Decompressor):
+                    data = b""
+                    while out:
+                        yield out
+                        out = b"" if self.open.eof or self.open.needs_input else self.open.decompress(b"", PIECE)
+                else:
+                    data = self.open.unconsumed_tail
+                    while len(out) == PIECE:
+                        yield out
+                        out = self.open.decompress(data, PIECE)
+                        data = self.open.unconsumed_tail
+                    if out:
+                        yield out
+                if self.open.eof:
+                    data, self.open = self.open.unused_data, None
+            except (zlib.error, OSError, ValueError, EOFError):
+                self.failed = True
+
+
+class _Stream:
+    """A layer of any length: its bytes as texts that overlap, and those of compressed data in it."""
+
+    def __init__(self, level: int = 0) -> None:
+        self.level, self.text = level, ""
+        self.decoder = codecs.getincrementaldecoder("utf-8")("replace")
+        self.members: _Members | None = None
+        self.inner: _Stream | None = None
+        self.begun = False
+
+    def feed(self, data: bytes, last: bool = False) -> Iterator[str]:
+        if data and not self.begun:
+            self.begun = True
+            if self.level < STREAMED_LEVELS and _opener(data) is not None:
+                self.members, self.inner = _Members(), _Stream(self.level + 1)
+        if self.members is not None:
+            for out in self.members.feed(data):
+                yield from self.inner.feed(out)
+            self.members.rest.clear()  # scanned as text here
+            if last:
+                yield from self.inner.feed(b"", True)
+        # All of the layer has one place, so only whether something is found counts, and spaces can be fewer.
+        self.text = _SPACES.sub(" " * 16, self.text + self.decoder.decode(data, last))
+        if last:
+            if self.text:
+                yield self.text
+            return
+        if len(self.text) < PIECE:
+            return
+        cut = len(self.text.rstrip(_RUN_CHARS))
+        if len(self.text) - cut > max(MAX_INFLATED, PIECE):
+            cut += (len(self.text) - cut) // 4 * 4
+        elif len(self.text) - cut == len(self.text):
+            return
+        if cut > OVERLAP:
+            yield self.text[:cut]
+            self.text = self.text[cut - OVERLAP :]
+
+
+def _unwrapped(raw: bytes) -> Iterator[tuple[str | None, str]]:
+    """Decoded bytes to texts and how they came about; None for what may not be unwrapped whole."""
+    todo, met = [(raw, "base64")], set()
+    while todo:
+        blob, via = todo.pop()
+        digest = hashlib.sha256(blob).digest()
+        if not blob or digest in met:
+            continue
+        met.add(digest)
+        if _opener(blob) is None:
+            yield blob.decode("utf-8", "replace"), via
+            continue
+        members, parts, n, large = _Members(), [], 0, None
+        for out in members.feed(blob):
+            if large is None:
+                parts.append(out)
+                n += len(out)
+                if n <= MAX_INFLATED:
+                    continue
+                yield None, "compressed"
+                large, out = _Stream(), b"".join(parts)
+            for new in large.feed(out):
+                yield new, "compressed"
+        if large is not None:
+            for new in large.feed(b"", True):
+                yield new, "compressed"
+        else:
+            todo.append((b"".join(parts), "compressed"))
+        todo.append((b"".join([*members.rest, members.held]), "compressed"))
+        if members.failed:
+            if blob[:3] == b"\x1f\x8b\x08" or (blob[:3] == b"BZh" and blob[4:10] == b"1AY&SY"):
+                yield None, "compressed"
+            yield blob.decode("utf-8", "replace"), via
 
 
 def _base64_layers(text: str) -> Iterator[tuple[str | None, int, int, str]]:
@@ -152,17 +264,7 @@ def _base64_layers(text: str) -> Iterator[tuple[str | None, int, int, str]]:
             raw = base64.b64decode(run.replace("-", "+").replace("_", "/") + "=" * (-len(run) % 4), validate=True)
         except ValueError:
             continue
-        via, depth = "base64", 0
-        while (inner := _inflate(raw)) is not None:
-            via = "compressed"
-            if inner is False:
-                yield None, m.start(), m.end(), via
-                raw = b""
-                break
-            raw, depth = inner, depth + 1
-            if depth > 64:
-                raw = b""
-        if raw and (new := _printable(raw)) is not None:
+        for new, via in _unwrapped(raw):
             yield new, m.start(), m.end(), via
 
 
@@ -173,37 +275,40 @@ def scan_text(text: str) -> list[tuple[str, int, int, int, str]]:
     """
     found = [(k, s, e, 0, "") for k, s, e in scan_layer(text)]
     known = {(k, s, e) for k, s, e, _, _ in found}
-    work: list[tuple[str, object, int, str]] = [(text, None, 0, "")]
     met = {(hashlib.sha256(text.encode("utf-8", "surrogatepass")).digest(), 0, len(text))}
-    while work:
-        layer, where, depth, via = work.pop()
-        to_text = where if where is not None else (lambda s, e: (s, e))
-        inner: list[tuple[str, object, str]] = []
+
+    def inner(layer: str, to_text, depth: int) -> Iterator[tuple[str, object, int, str]]:
         if (esc := _escaped_layer(layer)) is not None:
-            inner.append((esc[0], lambda s, e, t=esc[1], up=to_text: up(*t.span(s, e)), "escape"))
+            yield esc[0], lambda s, e, t=esc[1]: to_text(*t.span(s, e)), depth, "escape"
         for new, s, e, how in _base64_layers(layer):
             span = to_text(s, e)
-            if new is None:
-                if ("bomb", *span) not in known:
-                    known.add(("bomb", *span))
-                    found.append(("bomb", *span, depth + 1, how))
-                continue
-            inner.append((new, lambda s, e, at=span: at, how))
-        for new, up, how in inner:
-            if not new:
-                continue
-            # The same payload at another place is another finding. Escapes only shorten and a run has one span
-            # for all it holds, so the same over the same stretch is a cycle, or repeats what was found.
-            mark = (hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(), *up(0, len(new)))
-            if mark in met:
-                continue
-            met.add(mark)
-            for k, s, e in scan_layer(new):
-                span = up(s, e)
-                if (k, *span) not in known:
-                    known.add((k, *span))
-                    found.append((k, *span, depth + 1, how))
-            work.append((new, up, depth + 1, how))
+            if new is not None:
+                yield new, lambda s, e, at=span: at, depth, how
+            elif ("bomb", *span) not in known:
+                known.add(("bomb", *span))
+                found.append(("bomb", *span, depth, how))
+
+    # One iterator for each layer on the way inward, so that pieces of a long layer are not held together.
+    work = [inner(text, lambda s, e: (s, e), 1)]
+    while work:
+        if (step := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        new, up, depth, how = step
+        if not new:
+            continue
+        # The same payload at another place is another finding. Escapes only shorten and a run has one span
+        # for all it holds, so the same over the same stretch is a cycle, or repeats what was found.
+        mark = (hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(), *up(0, len(new)))
+        if mark in met:
+            continue
+        met.add(mark)
+        for k, s, e in scan_layer(new):
+            span = up(s, e)
+            if (k, *span) not in known:
+                known.add((k, *span))
+                found.append((k, *span, depth, how))
+        work.append(inner(new, up, depth + 1))
     return found
 
 

@@ -1,6 +1,7 @@
 """Line dedup, n-gram join, packing, BPE and secret scan against brute force."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import random
@@ -262,3 +263,39 @@ def test_secret_redaction_ends_without_findings(monkeypatch):
     scan = lambda t: [("assign", t.index("#"), t.index("#") + 1, 0, "")] if "#" in t else []
     monkeypatch.setattr(secret_scan, "scan_text", scan)
     assert secret_scan.redact("#" * 20) == "[SECRET]" * 20
+
+
+def _nested(data, times):
+    for _ in range(times):
+        data = gzip.compress(data)
+    return data
+
+
+@pytest.mark.parametrize("data", [
+    gzip.compress(b"nothing here") + gzip.compress(SECRET.encode()), bz2.compress(b"nothing here") + bz2.compress(SECRET.encode()), zlib.compress(b"nothing here") + b"\0" * 20 + gzip.compress(SECRET.encode()), gzip.compress(b"nothing here") + b" then " + SECRET.encode(),
+    b"\xff\x00 before " + SECRET.encode(), b"\x1b[1m" + SECRET.encode(), b"x^2 " + SECRET.encode(), gzip.compress(b"\xfe\x07" + SECRET.encode())[:-4], _nested(SECRET.encode(), 80),
+], ids=["gzip", "bzip2", "mixed", "rest", "no utf-8", "control", "no zlib", "cut off", "nested"])
+def test_secrets_in_awkward_layers(data):
+    text = f"before {base64.b64encode(data).decode()} after"
+    assert {(s, e) for k, s, e, *_ in secret_scan.scan_text(text) if k == "assign"} == {(7, len(text) - 6)}
+    assert secret_scan.redact(text) == "before [SECRET] after"
+
+
+@pytest.mark.parametrize("at", [0, 990, 4090, 50_000, 99_000])
+@pytest.mark.parametrize("wrap", [lambda b: b, base64.b64encode, lambda b: urllib.parse.quote(b).encode(), lambda b: b.replace(b" = ", b" " * 6000 + b"= ")], ids=["plain", "base64", "escape", "spaces"])
+def test_secrets_in_large_layers(monkeypatch, at, wrap):
+    monkeypatch.setattr(secret_scan, "MAX_INFLATED", 5000)
+    monkeypatch.setattr(secret_scan, "PIECE", 4096)
+    noise = " ".join(random.Random(1).choices(WORDS, k=20_000)).encode()[:100_000]
+    data = noise[:at] + b" " + wrap(SECRET.encode()) + b" " + noise[at:]
+    text = base64.b64encode(gzip.compress(gzip.compress(data))).decode()
+    assert {f[0] for f in secret_scan.scan_text(text)} == {"assign", "bomb"}
+
+
+def test_damaged_compressed_data_is_reported():
+    data = bytearray(gzip.compress(random.Random(1).randbytes(3000)))
+    data[1500:] = b""
+    assert secret_scan.scan_text(base64.b64encode(bytes(data)).decode()) == []
+    data = bytearray(bz2.compress(random.Random(1).randbytes(3000)))
+    data[1500:1600] = bytes(100)
+    assert "bomb" in {f[0] for f in secret_scan.scan_text(base64.b64encode(bytes(data)).decode())}
