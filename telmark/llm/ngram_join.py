@@ -9,12 +9,13 @@ out are cut. What is left is verified on the full sets.
 To spread the index over tasks, classes meet in blocks: each goes to the blocks of its
 ``n - ceil(t n) + 1`` first tokens, one of which any two linked classes share. Tokens are ordered by
 hash, but up to ``FREQUENT_TOKENS`` that occur most come last; the order is a hint that only
-saves work, any fixed one is exact. Blocks with the same members are worked once. An R-tree is packed per block.
+saves work, any fixed one is exact. Blocks with the same members are worked once. An R-tree is packed per block;
+a block of more than ``TILE`` members is cut into tiles, and each pair of tiles is a group of its own. A
+component with more than that in a block has tiles of its own, which do not meet each other.
 
 A link inside a component already found changes no component, so the search runs three times:
 neighbours in a block's order; each class's best partner of another component; then all pairs
-of different components, each in the first block it shares. No pair is lost between
-components, and groups of near copies do not make a square of pairs. Only pairs whose bound
+of different components. No pair is lost between components, and groups of near copies do not make a square of pairs. Only pairs whose bound
 passes are emitted.
 
 Defined results: words are split at ASCII white space, A-Z lower-cased. Null, empty and
@@ -39,6 +40,7 @@ from telmark.llm.text_hash import mix, shingle_sets, string_buffers
 GROUPS = 128
 LEAF = 32
 LIST_ROWS = 4096
+TILE = 8192
 PAIR_BATCH = 200_000
 BROADCAST_ROWS = 100_000
 FREQUENT_IN_BATCH = 4
@@ -236,36 +238,42 @@ class RTree:
                 stack.append((self.kids[i[leaf_j]].ravel(), np.repeat(j[leaf_j], 2)))
 
 
+def _neighbours(percent: int):
+    """Members in a block's order to pairs of neighbours whose bound allows a link; nothing but the last row is kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cols = [batch.column(c).to_numpy() for c in ("f1", "f2", "rep")] + [*_unpack(batch.column("point").to_pylist())]
+            cols = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
+            f1, f2, rep, points, size = cols
+            over = np.minimum(points[:-1], points[1:]).sum(1)
+            ok = (f1[1:] == f1[:-1]) & (f2[1:] == f2[:-1]) & (over * (100 + percent) >= percent * (size[1:] + size[:-1]))
+            a, b = rep[:-1][ok], rep[1:][ok]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            held = [c[-1:] for c in cols]
+
+    return run
+
+
 def _candidates(percent: int, mode: str):
-    """Members sorted by block to pairs ``(a, b)`` whose bound allows a link.
+    """Members sorted by group to pairs ``(a, b)`` whose bound allows a link.
 
-    ``next``: neighbours in the block's order. ``best``: of the pairs of different components the
-    one with the largest bound for each member. ``every``: all of them, each pair in the first
-    block that it shares only.
+    ``best``: of the pairs of different components the one with the largest bound for each
+    member. ``every``: all of them. Where a group is a pair of tiles, both sides of a pair differ.
     """
 
-    def work(block: int, rep: np.ndarray, comp: np.ndarray, points: np.ndarray, size: np.ndarray, blocks: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        if mode == "next":
-            order = np.lexsort((*points[:, :8].T, size))
-            a, b = order[:-1], order[1:]
-            over = np.minimum(points[a], points[b]).sum(1)
-            ok = over * (100 + percent) >= percent * (size[a] + size[b])
-            yield rep[a[ok]], rep[b[ok]]
-            return
+    def work(rep: np.ndarray, comp: np.ndarray, side: np.ndarray, points: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if (comp == comp[0]).all():
             return
-        earlier: dict[int, frozenset] = {}
-
-        def before(i: int) -> frozenset:
-            if i not in earlier:
-                earlier[i] = frozenset(x for x in blocks[i] if x < block)
-            return earlier[i]
-
         best, with_ = np.full(len(rep), -1.0), np.zeros(len(rep), np.int64)
         for a, b in RTree(points, size, comp).pairs(percent):
+            apart = (side[a] != side[b]) | (side[a] == 0)
+            a, b = a[apart], b[apart]
             if mode == "every":
-                new = np.fromiter((before(i).isdisjoint(before(j)) for i, j in zip(a.tolist(), b.tolist(), strict=True)), bool, len(a))
-                yield rep[a[new]], rep[b[new]]
+                yield rep[a], rep[b]
                 continue
             share = np.minimum(points[a], points[b]).sum(1) / (size[a] + size[b])
             for x, y in ((a, b), (b, a)):
@@ -279,12 +287,15 @@ def _candidates(percent: int, mode: str):
             yield rep[got], rep[with_[got]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(cols: list[np.ndarray], lists: list) -> Iterator[pa.RecordBatch]:
-            f1, f2, rep, comp, points, size = cols
-            cut = np.flatnonzero(np.r_[True, (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])])
+        def starts(*keys: np.ndarray) -> np.ndarray:
+            return np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)]
+
+        def close(cols: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            f1, f2, group, rep, comp, side, points, size = cols
+            cut = np.flatnonzero(starts(f1, f2, group))
             found, n = [], 0
             for s, e in zip(cut, np.r_[cut[1:], len(f1)], strict=True):
-                for a, b in work(int(f1[s]), rep[s:e], comp[s:e], points[s:e], size[s:e], lists[s:e]):
+                for a, b in work(rep[s:e], comp[s:e], side[s:e], points[s:e], size[s:e]):
                     found.append((a, b))
                     n += len(a)
                     if n > PAIR_BATCH:
@@ -299,21 +310,18 @@ def _candidates(percent: int, mode: str):
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
         held: list[np.ndarray] = []
-        lists: list = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cols = [batch.column(c).to_numpy() for c in ("f1", "f2", "rep", "comp")]
+            cols = [batch.column(c).to_numpy() for c in ("f1", "f2", "group", "rep", "comp", "side")]
             cols += _unpack(batch.column("point").to_pylist())
             held = [np.concatenate(x) for x in zip(held, cols, strict=True)] if held else cols
-            lists += batch.column("blocks").to_pylist() if mode == "every" else [None] * batch.num_rows
-            f1, f2 = held[0], held[1]
-            last = int(np.flatnonzero(np.r_[True, (f1[1:] != f1[:-1]) | (f2[1:] != f2[:-1])])[-1])
+            last = int(np.flatnonzero(starts(*held[:3]))[-1])
             if last:
-                yield from close([c[:last] for c in held], lists[:last])
-                held, lists = [c[last:] for c in held], lists[last:]
+                yield from close([c[:last] for c in held])
+                held = [c[last:] for c in held]
         if held:
-            yield from close(held, lists)
+            yield from close(held)
 
     return run
 
@@ -330,18 +338,38 @@ def _verify(k: int, percent: int):
     return run
 
 
-def _pairs(members: DataFrame, points: DataFrame, comp: DataFrame | None, percent: int, mode: str) -> DataFrame:
-    m = members.select("f1", "f2", "rep").join(points, "rep")
-    if mode == "every":
-        # A class is in as many blocks as its prefix has shared hashes, a share of its own length.
-        m = m.join(members.groupBy("rep").agg(F.collect_list("f1").alias("blocks")), "rep")
-    else:
-        m = m.withColumn("blocks", F.lit(None).cast("array<bigint>"))
-    if comp is None:
-        m = m.withColumn("comp", F.col("rep"))
-    else:
-        m = m.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
-    m = m.select("f1", "f2", "rep", "comp", "point", "blocks").repartition("f1", "f2").sortWithinPartitions("f1", "f2", "rep")
+def _near(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
+    order = ["f1", "f2", "n", "point", "rep"]
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    m = members.select("f1", "f2", "rep").join(points, "rep").select(*order)
+    return m.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_neighbours(percent), "a long, b long").distinct()
+
+
+def _tiled(large: DataFrame) -> DataFrame:
+    """Members of large blocks, once for each pair of tiles they belong to; what two tiles of one component share is left out."""
+    large = durable(large)
+    per = large.groupBy("f1", "f2", "comp").agg(F.count("*").alias("c")).withColumn("owner", F.when(F.col("c") > TILE, F.col("comp")))
+    tiles = per.groupBy("f1", "f2", "owner").agg(F.ceil(F.sum("c") / TILE).cast("int").alias("tiles"))
+    owned = per.filter("owner IS NOT NULL").select("f1", "f2", "comp", "owner")
+    others = tiles.select("f1", "f2", F.col("owner").alias("owner2"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile2"))
+    key = lambda owner, tile: F.struct(owner.isNull().alias("x"), F.coalesce(owner, F.lit(0)).alias("y"), tile.alias("z"))
+    m = large.join(owned, ["f1", "f2", "comp"], "left")
+    same = m["f1"].eqNullSafe(tiles["f1"]) & m["f2"].eqNullSafe(tiles["f2"]) & m["owner"].eqNullSafe(tiles["owner"])
+    m = m.join(tiles, same).select(m["f1"], m["f2"], "rep", "comp", m["owner"], F.pmod(F.xxhash64("rep"), F.col("tiles")).cast("int").alias("tile"))
+    m = m.join(others, ["f1", "f2"]).filter(F.col("owner").isNull() | ~F.col("owner").eqNullSafe(F.col("owner2")))
+    m = m.withColumns({"k": key(F.col("owner"), F.col("tile")), "k2": key(F.col("owner2"), F.col("tile2"))})
+    side = F.when(F.col("k") == F.col("k2"), 0).when(F.col("k") < F.col("k2"), 1).otherwise(2)
+    return m.select("f1", "f2", F.xxhash64(F.least("k", "k2"), F.greatest("k", "k2")).alias("group"), "rep", "comp", side.alias("side"))
+
+
+def _pairs(members: DataFrame, points: DataFrame, comp: DataFrame, percent: int, mode: str) -> DataFrame:
+    m = members.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", "members", "rep", F.coalesce("component", "rep").alias("comp"))
+    small = m.filter(F.col("members") <= TILE).select("f1", "f2", F.lit(0).cast("long").alias("group"), "rep", "comp", F.lit(0).alias("side"))
+    large = m.filter(F.col("members") > TILE).select("f1", "f2", "rep", "comp")
+    m = small if members.filter(F.col("members") > TILE).isEmpty() else small.unionByName(_tiled(large))
+    m = m.join(points.select("rep", "point"), "rep").select("f1", "f2", "group", "rep", "comp", "side", "point")
+    m = m.repartition("f1", "f2", "group").sortWithinPartitions("f1", "f2", "group", "rep")
+    # A pair comes once from each block it shares.
     return m.mapInArrow(_candidates(percent, mode), "a long, b long").distinct()
 
 
@@ -373,15 +401,15 @@ def near_duplicate_components(docs: DataFrame, k: int = 5, percent: int = 80) ->
     live = own.filter(F.col("doc").isNotNull())
     full = live.mapInArrow(_sets(k, percent, frequent), "doc long, tag long, n long, s1 long, s2 long, point binary, prefix binary").filter("n > 0")
     first = lambda c: F.min_by(c, F.struct("doc", "tag")).alias(c)
-    heads = durable(full.groupBy(F.col("s1").alias("rep")).agg(first("point"), first("prefix")))
+    heads = durable(full.groupBy(F.col("s1").alias("rep")).agg(first("point"), first("prefix"), first("n")))
     posted = heads.select("rep", "prefix").mapInArrow(_postings, "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
     blocks = posted.mapInArrow(_blocks, "f1 long, f2 long, members long, piece int, reps binary").dropDuplicates(["f1", "f2", "piece"])
     members = durable(blocks.mapInArrow(_members, "f1 long, f2 long, members long, rep long"))
-    points = heads.select("rep", "point")
+    points = heads.select("rep", "point", "n")
     again = has.select("doc", F.col("s1").alias("b")).distinct()
     again = again.join(again.groupBy("doc").agg(F.min("b").alias("a"), F.count("*").alias("c")).filter("c > 1"), "doc").select("a", "b")
     # First one neighbour of each class, then the best partner in another component: enough to join groups of near copies.
-    near = _pairs(members, points, None, percent, "next").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    near = _near(members, points, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     edges = durable(_linked(near, classes, live, k, percent).unionByName(again))
     comp = durable(connected_components(edges))
     for mode in ("best", "every"):

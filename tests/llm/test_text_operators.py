@@ -141,6 +141,26 @@ def test_ngram_join_dense_group_and_repeats(make_docs):
     assert kept.filter("doc_id >= 300 AND doc_id < 500").count() == 0 and kept.filter("doc_id IS NULL").count() == 1 and kept.columns[5] == "tag"
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_ngram_join_tiles_equal_brute_force(make_docs, monkeypatch, seed):
+    monkeypatch.setattr(ngram_join, "TILE", 4)
+    rows = list(enumerate(near_texts(150, seed)))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.near_duplicate_components(make_docs(rows), 3, 90).collect()}
+    assert got == components(rows, 3, 90)
+
+
+def test_ngram_join_large_blocks_are_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "TILE", 10)
+    comp = [0] * 60 + [1] * 5 + list(range(2, 57))
+    large = spark.createDataFrame([(7, 8, i, c) for i, c in enumerate(comp)], "f1 long, f2 long, rep long, comp long")
+    groups = {}
+    for r in ngram_join._tiled(large).collect():
+        groups.setdefault(r["group"], []).append((r["rep"], r["side"]))
+    assert max(map(len, groups.values())) <= 50
+    met = {(a, b) for g in groups.values() for a, x in g for b, y in g if a < b and (x != y or x == 0)}
+    assert {(a, b) for a in range(120) for b in range(a + 1, 120) if comp[a] != comp[b]} <= met
+
+
 def test_ngram_join_empty_and_long_text(make_docs, monkeypatch):
     assert ngram_join.near_duplicate_components(make_docs([]), 3, 90).count() == 0
     monkeypatch.setattr("telmark.llm.text_hash.CHUNK_BYTES", 1000)
