@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 512 << 10
 _rng = np.random.default_rng(20240607)
 _P = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93))
 _TABLES = []
@@ -56,10 +56,11 @@ def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int
 
 
 def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Offsets (one more than rows) and bytes of a string column; a null has no bytes."""
+    """Offsets (one more than rows) and bytes of a string or binary column; a null has no bytes."""
+    wide = pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string()
     if column.null_count:
-        column = column.fill_null("")
-    column = column.cast(pa.large_string())
+        column = column.fill_null(b"" if wide == pa.large_binary() else "")
+    column = column.cast(wide)
     _, off, data = column.buffers()
     if off is None or len(column) == 0:
         return np.zeros(len(column) + 1, np.int64), np.zeros(0, np.uint8)
