@@ -9,7 +9,9 @@ out are cut. What is left is verified on the full sets.
 To spread the index over tasks, classes meet in blocks: each goes to the blocks of its
 ``n - ceil(t n) + 1`` first tokens, one of which any two linked classes share. Tokens are ordered by
 hash, but up to ``FREQUENT_TOKENS`` that occur most come last; the order is a hint that only
-saves work, any fixed one is exact. Blocks with the same members are worked once. An R-tree is packed per block;
+saves work, any fixed one is exact. Postings are range-partitioned, so that a very common token is not gathered in a
+task. Sizes too far apart part a block, and members whose positions of the token rule out a link with each other
+member are left out. Blocks with the same members are worked once. An R-tree is packed per block;
 a block of more than ``TILE`` members is cut into tiles, and each pair of tiles is a group of its own. A
 component with more than that in a block has tiles of its own, which do not meet each other.
 
@@ -114,40 +116,103 @@ def _sets(k: int, percent: int, frequent: Broadcast):
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Classes to one row per prefix token; ``place`` is the set size over 2**32 plus the token's position."""
     for batch in batches:
         keys = [np.frombuffer(x, np.int64) for x in batch.column("prefix").to_pylist()]
-        lengths = [len(x) for x in keys]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])), pa.array(np.repeat(batch.column("rep").to_numpy(), lengths))], names=["key", "rep"])
+        lengths = np.array([len(x) for x in keys], np.int64)
+        position = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        place = (np.repeat(batch.column("n").to_numpy(), lengths) << 32) | position
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*keys, np.zeros(0, np.int64)])), pa.array(place), pa.array(np.repeat(batch.column("rep").to_numpy(), lengths))], names=["key", "place", "rep"])
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted ``(key, rep)`` to one row per key with two members or more: a fingerprint and the members, in pieces."""
-    schema = pa.schema([("f1", pa.int64()), ("f2", pa.int64()), ("members", pa.int64()), ("piece", pa.int32()), ("reps", pa.binary())])
+def _useful(run: np.ndarray, n: np.ndarray, position: np.ndarray, percent: int) -> np.ndarray:
+    """Which rows of runs in order of size have a partner in their run that size and positions allow.
 
-    def close(key: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        size = np.diff(np.r_[start, len(key)])
-        some = np.flatnonzero(size > 1)
+    Two linked sets share a token whose positions leave room for the least overlap in both.
+    Runs of more than ``LEAF`` rows are kept whole; their R-tree sorts them out.
+    """
+    keep, i = np.zeros(len(run), bool), np.arange(len(run))
+    for d in range(1, LEAF + 1):
+        i = i[i + d < len(run)]
+        i = i[run[i + d] == run[i]]
+        if not len(i):
+            return keep
+        j = i + d
+        least = -(-percent * (n[i] + n[j]) // (100 + percent))
+        ok = (100 * n[i] >= percent * n[j]) & (position[i] <= n[i] - least) & (position[j] <= n[j] - least)
+        keep[i[ok]] = keep[j[ok]] = True
+    return keep | np.isin(run, run[i])
+
+
+def _blocks(percent: int):
+    """Rows sorted by key, size and class to blocks: a fingerprint and the members, in pieces.
+
+    A key's members fall into runs; sizes too far apart to link lie in different ones. Keys at a
+    partition's border, which other partitions may hold too, and very long ones are passed on as they come, under
+    the key itself, so that no key is gathered in a task.
+    """
+    schema = pa.schema([("f1", pa.int64()), ("f2", pa.int64()), ("f3", pa.int64()), ("members", pa.int64()), ("reps", pa.binary())])
+
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema, strict=True)], schema=schema)
+
+    def close(key: np.ndarray, place: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+        n, position = place >> 32, place & 0xFFFFFFFF
+        apart = (key[1:] != key[:-1]) | (100 * n[:-1] < percent * n[1:])
+        run = np.r_[0, np.cumsum(apart)] if len(key) else np.zeros(0, np.int64)
+        keep = _useful(run, n, position, percent)
+        run, rep = run[keep], rep[keep]
+        start = np.flatnonzero(np.r_[True, run[1:] != run[:-1]]) if len(run) else np.zeros(0, np.int64)
+        stop = np.r_[start[1:], len(run)]
         rows: list[tuple] = []
-        if len(some):
+        if len(run):
             u = rep.astype(np.uint64)
             f1 = np.add.reduceat(mix(u), start).view(np.int64)
             f2 = np.add.reduceat(mix(u ^ np.uint64(0x2545F4914F6CDD1D)), start).view(np.int64)
-            for b in some:
-                for p, at in enumerate(range(0, size[b], LIST_ROWS)):
-                    rows.append((f1[b], f2[b], size[b], p, rep[start[b] + at : start[b] + min(at + LIST_ROWS, size[b])].tobytes()))
-        cols = list(zip(*rows, strict=True)) or [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema, strict=True)], schema=schema)
+            for b in range(len(start)):
+                for piece, at in enumerate(range(start[b], stop[b], LIST_ROWS)):
+                    rows.append((f1[b], f2[b], piece, stop[b] - start[b], rep[at : min(at + LIST_ROWS, stop[b])].tobytes()))
+        return rows_of(rows)
+
+    def passed(key: np.ndarray, rep: np.ndarray) -> pa.RecordBatch:
+        rows, cut = [], np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for s, e in zip(cut, np.r_[cut[1:], len(key)], strict=True):
+            u = key[s : s + 1].view(np.uint64)
+            f1, f2 = (int(mix(u ^ np.uint64(x)).view(np.int64)[0]) for x in (0x6A09E667F3BCC908, 0xBB67AE8584CAA73B))
+            for at in range(s, e, LIST_ROWS):
+                own = rep[at : min(at + LIST_ROWS, e)]
+                rows.append((f1, f2, int(mix(own.astype(np.uint64)).sum(dtype=np.uint64).view(np.int64)), -1, own.tobytes()))
+        return rows_of(rows)
 
-    key, rep = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, rep = np.concatenate([key, batch.column("key").to_numpy()]), np.concatenate([rep, batch.column("rep").to_numpy()])
-        last = int(np.searchsorted(key, key[-1]))
-        yield close(key[:last], rep[:last])
-        key, rep = key[last:], rep[last:]
-    yield close(key, rep)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, place, rep = (np.zeros(0, np.int64) for _ in range(3))
+        through: int | None = None
+        seen = False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, place, rep = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((key, "key"), (place, "place"), (rep, "rep")))
+            if not seen:
+                seen, through = True, int(key[0])
+            first = int(np.searchsorted(key, through, side="right")) if through is not None and key[0] == through else 0
+            if first:
+                yield passed(key[:first], rep[:first])
+                key, place, rep = key[first:], place[first:], rep[first:]
+            if not len(key):
+                continue
+            last = int(np.searchsorted(key, key[-1]))
+            if last:
+                yield close(key[:last], place[:last], rep[:last])
+                key, place, rep = key[last:], place[last:], rep[last:]
+            if len(key) > TILE:
+                through = int(key[0])
+                yield passed(key, rep)
+                key, place, rep = key[:0], place[:0], rep[:0]
+        if len(key):
+            yield passed(key, rep)
+
+    return run
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,9 +467,14 @@ def near_duplicate_components(docs: DataFrame, k: int = 5, percent: int = 80) ->
     full = live.mapInArrow(_sets(k, percent, frequent), "doc long, tag long, n long, s1 long, s2 long, point binary, prefix binary").filter("n > 0")
     first = lambda c: F.min_by(c, F.struct("doc", "tag")).alias(c)
     heads = durable(full.groupBy(F.col("s1").alias("rep")).agg(first("point"), first("prefix"), first("n")))
-    posted = heads.select("rep", "prefix").mapInArrow(_postings, "key long, rep long").repartition("key").sortWithinPartitions("key", "rep")
-    blocks = posted.mapInArrow(_blocks, "f1 long, f2 long, members long, piece int, reps binary").dropDuplicates(["f1", "f2", "piece"])
-    members = durable(blocks.mapInArrow(_members, "f1 long, f2 long, members long, rep long"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["key", "place", "rep"]
+    posted = heads.select("rep", "n", "prefix").mapInArrow(_postings, "key long, place long, rep long").repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    blocks = posted.mapInArrow(_blocks(percent), "f1 long, f2 long, f3 long, members long, reps binary").dropDuplicates(["f1", "f2", "f3"])
+    listed = durable(blocks.mapInArrow(_members, "f1 long, f2 long, members long, rep long"))
+    border = listed.filter("members < 0").drop("members")
+    total = border.groupBy("f1", "f2").agg(F.count("*").alias("members")).filter("members > 1")
+    members = listed.filter("members > 0").unionByName(border.join(total, ["f1", "f2"]).select(listed.columns))
     points = heads.select("rep", "point", "n")
     again = has.select("doc", F.col("s1").alias("b")).distinct()
     again = again.join(again.groupBy("doc").agg(F.min("b").alias("a"), F.count("*").alias("c")).filter("c > 1"), "doc").select("a", "b")
