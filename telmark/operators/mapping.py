@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telmark import contracts as C
@@ -48,21 +48,42 @@ def load_source_mappings(spark: SparkSession, path: str, allow_wildcards: bool =
     )
 
 
-def resolve_source_mapping(records: DataFrame, mappings: DataFrame, key: str = "arrival_seq", max_broadcast_rows: int = 100_000) -> DataFrame:
+def resolve_source_mapping(records: DataFrame, mappings: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
     """J1. Adds ``mapping`` (null: unmapped): of the active entries that fit and are valid at ``received_at`` the first in file order.
 
-    The dimension is configuration; it is broadcast only after its rows are counted, else
-    joined by provider. ``key`` names a record.
+    Entries of a provider meet its records by an equality join, as one array a provider, so no record is doubled
+    or lost and nothing is sorted. Entries for any provider are one more array. The dimension is configuration; it is
+    broadcast only after its rows are counted, which changes the plan alone.
     """
-    m = mappings.filter("status = 'active'").select(*[F.col(c).alias(f"m_{c}") for c in mappings.columns])
-    fits = [(F.col(f"m_{c}") == "*") | F.col(f"m_{c}").eqNullSafe(F.col(c)) for c in IDENTITY if c in records.columns]
-    valid = (F.col("m_valid_from") <= F.col("received_at")) & (F.col("m_valid_to").isNull() | (F.col("received_at") < F.col("m_valid_to")))
-    cond: Column = valid
-    for f in fits:
-        cond = cond & f
-    small = m.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows
-    joined = records.join(F.broadcast(m) if small else m, cond, "left")
-    best = joined.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy("m_ordinal"))).filter("_rn = 1")
     fields = ["tenant_id", "project_id", "environment", "smpp_source_id", "mapping_version", "policy_version", "source_product", "route_ids"]
-    mapping = F.when(F.col("m_ordinal").isNotNull(), F.struct(*[F.col(f"m_{f}").alias(f) for f in fields]))
-    return best.withColumn("mapping", mapping).drop("_rn", *m.columns)
+    entries = F.collect_list(F.struct("ordinal", *IDENTITY, "valid_from", "valid_to", F.struct(*fields).alias("mapping")))
+    active = mappings.filter("status = 'active'")
+    general = F.coalesce(F.col("provider_id") == "*", F.lit(True)) if "provider_id" in records.columns else F.lit(True)
+    n = active.agg(F.count("*").alias("all"), F.count_if(general).alias("general")).first()
+
+    def first_fit(candidates: str) -> Column:
+        def fits(x: Column) -> Column:
+            ok = (x["valid_from"] <= F.col("received_at")) & (x["valid_to"].isNull() | (F.col("received_at") < x["valid_to"]))
+            for c in IDENTITY:
+                if c in records.columns:
+                    ok = ok & ((x[c] == "*") | x[c].eqNullSafe(F.col(c)))
+            return ok
+
+        return F.array_min(F.filter(candidates, fits))
+
+    out, found = records, []
+    for own, some in ((True, n["all"] > n["general"]), (False, n["general"] > 0)):
+        if not some:
+            continue
+        if own:
+            dim = active.filter(~general).groupBy(F.col("provider_id").alias("_provider")).agg(entries.alias("_own"))
+            cond = F.col("provider_id") == F.col("_provider")
+        else:
+            # One row for all records.
+            dim, cond = active.filter(general).agg(entries.alias("_general")), F.lit(True)
+        out = out.join(F.broadcast(dim) if n["all"] <= max_broadcast_rows else dim, cond, "left")
+        found.append(first_fit("_own" if own else "_general"))
+    best = found[0] if len(found) == 1 else F.least(*found) if found else None
+    kind = "struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in mappings.select(fields).schema) + ">"
+    mapping = F.lit(None).cast(kind) if best is None else best["mapping"]
+    return out.withColumn("mapping", mapping).select(*records.columns, "mapping")

@@ -57,10 +57,49 @@ def _keys(text: Column) -> Column:
     return F.transform(F.filter(_tokens(text), lambda t: t.endswith(":")), lambda t: F.regexp_replace(t, r'^"|"\s*:$', ""))
 
 
+def _names_evaluation(value: object, depth: int = 0) -> bool:
+    if depth > 12:
+        return False
+    if isinstance(value, list):
+        return any(_names_evaluation(item, depth + 1) for item in value)
+    if isinstance(value, dict):
+        return any(key in C.EVALUATION_KEYS or re.search(C.EVALUATION_PATTERN, key) or _names_evaluation(child, depth + 1) for key, child in value.items())
+    return False
+
+
+def _parsed(text: str) -> object:
+    """The JSON value, null where the text is none; a string where it is nested beyond every limit."""
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return _DEEP
+    except ValueError:
+        return None
+
+
+_DEEP = object()
+
+
 def forbid_evaluation_identity(text: Column) -> Column:
-    """P8. The code if any key of the JSON text names an identity of the evaluation domain, else null."""
+    """P8. The code if any key of the JSON text, 12 levels down at most, names an identity of the evaluation domain, else null.
+
+    Texts without an escape and not deep are settled in the JVM; the others are walked, in Arrow batches.
+    """
+    code = "SMPP_EVALUATION_DOMAIN_IDENTITY_FORBIDDEN"
+
+    @F.pandas_udf(T.StringType())
+    def walk(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield s.map(lambda t: code if t is not None and _names_evaluation(_parsed(t)) else None)
+
+    plain = F.coalesce(~F.contains(text, F.lit("\\")) & (_opens(text) <= 12), F.lit(True))
     bad = F.exists(_keys(text), lambda k: k.isin(C.EVALUATION_KEYS) | k.rlike(C.EVALUATION_PATTERN))
-    return F.when(F.coalesce(bad, F.lit(False)), F.lit("SMPP_EVALUATION_DOMAIN_IDENTITY_FORBIDDEN"))
+    return F.coalesce(F.when(plain & F.coalesce(bad, F.lit(False)), F.lit(code)), walk(F.when(~plain, text)))
+
+
+def _opens(text: Column) -> Column:
+    """Brackets that open, no fewer than the levels of a JSON text."""
+    return F.length(text) - F.length(F.translate(text, "{[", ""))
 
 
 def _walk(value: object, state: dict, limits: dict, depth: int = 0) -> str | None:
@@ -94,40 +133,43 @@ def _walk(value: object, state: dict, limits: dict, depth: int = 0) -> str | Non
 def scan_sensitive(text: Column, limits: dict | None = None) -> Column:
     """P7. First code that a depth-first walk of the JSON meets, else null.
 
-    Plain rows are settled in the JVM: short, shallow by bracket count, and without a forbidden
-    key or value. Only the others are walked, in Arrow batches.
+    Plain rows are settled in the JVM: short, shallow by bracket count, without an escape (which could spell a key or
+    value in another way) and without a forbidden key or value. Only the others are walked, in Arrow batches.
     """
     bounds = C.LIMITS | (limits or {})
 
     @F.pandas_udf(T.StringType())
     def walk(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            yield s.map(lambda t: None if t is None else _walk(json.loads(t), {"nodes": 0}, bounds))
+            yield s.map(lambda t: None if t is None else "PAYLOAD_TOO_DEEP" if (v := _parsed(t)) is _DEEP else _walk(v, {"nodes": 0}, bounds))
 
-    opens = F.length(text) - F.length(F.translate(text, "{[", ""))
     least = min(bounds["nodes"], bounds["string"], bounds["array"], bounds["object"])
-    plain = (F.length(text) <= least) & (opens <= bounds["depth"]) & ~text.rlike(C.FORBIDDEN_KEY) & ~text.rlike(C.FORBIDDEN_VALUE)
+    plain = (F.length(text) <= least) & (_opens(text) <= bounds["depth"]) & ~F.contains(text, F.lit("\\")) & ~text.rlike(C.FORBIDDEN_KEY) & ~text.rlike(C.FORBIDDEN_VALUE)
     return walk(F.when(~F.coalesce(plain, F.lit(True)), text))
 
 
 def normalize_correlation(df: DataFrame) -> DataFrame:
     """P9. Adds ``correlation_code`` (null if fine) and ``correlation`` from the attributes and envelope columns."""
-    v = F.try_parse_json(F.col("attributes_json"))
-    attr = lambda key: F.try_variant_get(v, f"$.{key}", "string")
-    corr = lambda key: F.try_variant_get(v, f"$.correlation.{key}", "string")
-    kind = lambda path: F.coalesce(F.schema_of_variant(F.try_variant_get(v, path, "variant")), F.lit("VOID"))
-    keys = F.coalesce(F.json_object_keys("attributes_json"), F.array().cast("array<string>"))
-    payload_keys = F.coalesce(F.json_object_keys("payload_json"), F.array().cast("array<string>"))
-    raw = F.get_json_object("attributes_json", "$.correlation")
-    corr_keys = F.coalesce(F.json_object_keys(raw), F.array().cast("array<string>"))
+    names = (("runtime", "originRuntimeInstanceIds"), ("task", "originTaskIds"), ("invocation", "originInvocationIds"))
+    # Each column is worked out once and used several times below, so that Catalyst keeps the projections apart.
+    out = df.withColumn("_v", F.try_parse_json("attributes_json")).withColumn("_c", F.try_variant_get("_v", "$.correlation", "variant"))
+    member = lambda key: F.try_variant_get("_c", f"$.{key}", "variant")
+    out = out.withColumns({f"_{n}": F.try_variant_get("_c", f"$.{key}", "array<string>") for n, key in names} | {f"_kind_{n}": F.coalesce(F.schema_of_variant(member(key)), F.lit("VOID")) for n, key in names} | {f"_{k}": F.try_variant_get("_c", f"$.{k}", "string") for k in ("originSystem", "originDeploymentId")})
+    attr = lambda key: F.try_variant_get("_v", f"$.{key}", "string")
+    corr = lambda key: F.col(f"_{key}") if key in ("originSystem", "originDeploymentId") else F.try_variant_get("_c", f"$.{key}", "string")
+    kind = lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    # Keys are listed only where the text could hold one of those looked for.
+    keys_of = lambda text: F.coalesce(F.when(text.rlike(r"origin|\\"), F.json_object_keys(text)), F.array().cast("array<string>"))
+    keys, payload_keys = keys_of(F.col("attributes_json")), keys_of(F.col("payload_json"))
+    single = F.col("attributes_json").rlike("|".join(f'{k}"' for k in C.SINGULAR_ORIGIN_KEYS) + r"|\\")
+    corr_keys = F.coalesce(F.when(single, F.json_object_keys(F.get_json_object("attributes_json", "$.correlation"))), F.array().cast("array<string>"))
     legacy = F.array(*[F.lit(k) for k in C.LEGACY_ORIGIN_KEYS])
     singular = F.array(*[F.lit(k) for k in C.SINGULAR_ORIGIN_KEYS])
-    arrays = {name: F.try_variant_get(v, f"$.correlation.{key}", "array<string>") for name, key in (("runtime", "originRuntimeInstanceIds"), ("task", "originTaskIds"), ("invocation", "originInvocationIds"))}
-    kinds = {name: kind(f"$.correlation.{key}") for name, key in (("runtime", "originRuntimeInstanceIds"), ("task", "originTaskIds"), ("invocation", "originInvocationIds"))}
+    arrays, kinds = {n: F.col(f"_{n}") for n, _ in names}, {n: F.col(f"_kind_{n}") for n, _ in names}
     invalid, large = F.lit("SMPP_ORIGIN_METADATA_INVALID"), F.lit("SMPP_ORIGIN_METADATA_TOO_LARGE")
     steps = [
         F.when(F.arrays_overlap(keys, legacy) | F.arrays_overlap(payload_keys, legacy), invalid),
-        F.when(~(kind("$.correlation").startswith("OBJECT") | (kind("$.correlation") == "VOID")), invalid),
+        F.when(~(kind(F.col("_c")).startswith("OBJECT") | (kind(F.col("_c")) == "VOID")), invalid),
         F.when(F.arrays_overlap(corr_keys, singular), invalid),
     ]
     for name in ("runtime", "task", "invocation"):
@@ -137,7 +179,7 @@ def normalize_correlation(df: DataFrame) -> DataFrame:
         # A null element is skipped by none of the rules, so only strings of 1 to 256 characters or nulls pass.
         steps.append(F.when(~k.isin("VOID", "ARRAY<STRING>", "ARRAY<VOID>") | F.exists(a, lambda x: x.isNotNull() & ~F.length(x).between(1, 256)), invalid))
     for key, most in (("originSystem", 64), ("originDeploymentId", 256)):
-        k = kind(f"$.correlation.{key}")
+        k = kind(member(key))
         steps.append(F.when((k != "VOID") & ~((k == "STRING") & F.length(corr(key)).between(1, most)), invalid))
     some = F.lit(0)
     for a in arrays.values():
@@ -153,7 +195,7 @@ def normalize_correlation(df: DataFrame) -> DataFrame:
         F.lit(C.SEMANTIC_CLASS).alias("semantic_class"), F.lit(False).alias("authoritative"), F.lit(False).alias("may_select_facts"), F.lit(False).alias("may_override_binding"),
         F.lit(C.POLICY_ID).alias("policy_id"), F.lit(C.POLICY_VERSION).alias("policy_version"),
     )
-    return df.withColumn("correlation_code", F.coalesce(*steps)).withColumn("correlation", value)
+    return out.withColumns({"correlation_code": F.coalesce(*steps), "correlation": value}).select(*df.columns, "correlation_code", "correlation")
 
 
 def _rules(columns: list[str]) -> list[tuple[Column, str]]:
