@@ -29,10 +29,11 @@ def usable(e):
 
 
 @pytest.mark.parametrize("k", [5, 40])
-def test_vantage_trees_exact_with_factor_one(spark, k):
+def test_vantage_trees_exact_with_factor_one(spark, monkeypatch, k):
+    monkeypatch.setattr(ann, "BLOCK", 8)
     rows, df = vectors(spark)
     got = {}
-    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=k, factor=1.0, shard_rows=100, block_rows=8).orderBy("query_id", "rank").collect():
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, k=k, factor=1.0, shard_rows=100).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     ok = [(i, np.array(e, np.float64)) for i, e, *_ in rows if usable(e)]
     asked = [(i, e) for i, e in ok if i % 20 == 0]
