@@ -11,8 +11,9 @@ until the bitmaps are applied.
 
 Defined results: null and empty texts are one empty line, kept. A null ``doc_id`` counts as
 one document smaller than all others. Rows that repeat a doc_id count as one document, and
-each gets its own bitmap. Lines shorter than ``min_chars`` stay. An empty table gives an
-empty result. Further columns are carried through by ``drop_lines``.
+each gets its own bitmap; rows that repeat a text too share one. Lines shorter than ``min_chars`` stay. Very long texts
+are hashed whole. An empty table gives an empty result. Further columns, of any name, are carried through by
+``drop_lines``, which says which names it adds.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telmark.llm.shared import durable
+from telmark.llm.shared import durable, free_name
 from telmark.llm.text_hash import chunks, line_keys, string_buffers
 
 LINE_SCHEMA = "h1 long, h2 long, doc long, tag long, pos int, n_lines int"
@@ -150,26 +151,29 @@ def _kept_text(text: str, bitmap: bytes | None) -> str:
     return "\n".join([x for x, k in zip(lines, keep.tolist(), strict=True) if k])
 
 
-def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, counts: tuple[str, str] | None = ("n_lines_before", "n_lines_dropped")) -> DataFrame:
     """The documents, with all their columns, and ``text`` without the dropped lines.
 
-    A null text stays null. ``n_lines_before`` and ``n_lines_dropped`` (long) are added.
+    A null text stays null. Two columns of the names in ``counts`` (long) are added; columns of the
+    documents that have such a name give way. Null adds none, and all columns stay.
     """
     from pyspark.sql.types import LongType, StructField, StructType
 
-    maps = keep_bitmaps(docs, min_chars, min_docs).select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("n_dropped").alias("__dropped"), F.col("keep_bitmap").alias("__bitmap"))
+    doc, tag, lost, bitmap, d, t = (free_name(docs.columns, f"__{c}") for c in ("doc", "tag", "dropped", "bitmap", "d", "t"))
+    maps = keep_bitmaps(docs, min_chars, min_docs).select(F.col("doc").alias(doc), F.col("tag").alias(tag), F.col("n_dropped").alias(lost), F.col("keep_bitmap").alias(bitmap))
     text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.withColumns({"__d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), "__t": F.xxhash64(text)})
-    joined = keyed.join(maps, (F.col("__d") == F.col("__doc")) & (F.col("__t") == F.col("__tag")), "left").drop("__d", "__t", "__doc", "__tag")
-    own = docs.columns
-    schema = StructType([*docs.schema.fields, StructField("n_lines_before", LongType()), StructField("n_lines_dropped", LongType())])
+    keyed = docs.withColumns({d: F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))), t: F.xxhash64(text)})
+    joined = keyed.join(maps, (F.col(d) == F.col(doc)) & (F.col(t) == F.col(tag)), "left").drop(d, t, doc, tag)
+    own = [c for c in docs.columns if c not in (counts or ())]
+    schema = StructType([f for f in docs.schema.fields if f.name in own] + [StructField(c, LongType()) for c in counts or ()])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, maps_ = batch.column("text").to_pylist(), batch.column("__bitmap").to_pylist()
-            new = [None if t is None else _kept_text(t, m) for t, m in zip(texts, maps_, strict=True)]
-            n = [(t or "").count("\n") + 1 for t in texts]
+            texts, maps_ = batch.column("text").to_pylist(), batch.column(bitmap).to_pylist()
+            new = [None if x is None else _kept_text(x, m) for x, m in zip(texts, maps_, strict=True)]
             arrays = [pa.array(new, pa.large_string()).cast(batch.schema.field("text").type) if c == "text" else batch.column(c) for c in own]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(n, pa.int64()), batch.column("__dropped").fill_null(0)], names=[*own, "n_lines_before", "n_lines_dropped"])
+            if counts:
+                arrays += [pa.array([(x or "").count("\n") + 1 for x in texts], pa.int64()), batch.column(lost).fill_null(0)]
+            yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     return joined.mapInArrow(apply, schema)

@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telmark.llm.shared import connected_components, durable
+from telmark.llm.shared import connected_components, durable, free_name
 from telmark.llm.text_hash import mix, shingle_sets, string_buffers
 
 GROUPS = 128
@@ -499,5 +499,6 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     Rows without a doc_id stay. Rows that repeat the kept doc_id stay.
     """
     comp = near_duplicate_components(docs, k, percent)
-    lose = comp.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lose, F.col("doc_id") == F.col("__lost"), "left_anti")
+    lost = free_name(docs.columns, "lost_doc_id")
+    lose = comp.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(lost)).distinct()
+    return docs.join(lose, F.col("doc_id") == F.col(lost), "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,14 @@ from pyspark.sql import functions as F
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only where that is unset (single-machine tests) one is made here."""
+    """The shared folder of ``spark.checkpoint.dir``; only in local mode one is made here where that is unset."""
     sc = spark.sparkContext
     found = sc._jsc.sc().getCheckpointDir()
     if found.isEmpty():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        given = spark.conf.get("spark.checkpoint.dir", None)
+        if not given and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set; it must name a folder that all machines share")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-checkpoint-"))
         found = sc._jsc.sc().getCheckpointDir()
     return found.get()
 
@@ -24,6 +28,14 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """The name, with underscores before it as long as a column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df

@@ -1,20 +1,23 @@
 """Operator 5: toxicity by weak supervision.
 
 Voters look at a whole text and vote toxic, clean or nothing: a fixed lexicon of insults,
-lexicons of words and of word beginnings mined from the labelled training rows, and patterns
-(a vote each for the share, the variety and the repetition of hits, and for shouting). A generative label model is
+lexicons of words and of word beginnings mined from the labelled training rows, patterns of their hits (a vote each for
+share, variety and repetition), and patterns that know no lexicon: shouting, runs of exclamation, masked
+letters, and address of the reader. A generative label model is
 fitted by expectation maximisation to the histogram of vote patterns over all documents: each
-voter's accuracies by class and the class balance, with the weight of voters that agree beyond
-what the classes explain divided among them. A linear (logistic) classifier over the rates of
+voter's accuracies by class, the class balance, and the voters' correlations given the class, by which the
+evidence of voters that agree beyond what the classes explain is divided among them. A linear (logistic) classifier over the rates of
 mined features is then trained on the model's posterior labels of the training sample, and
 scores every text.
 
-The training sample is bounded by ``SAMPLE_ROWS`` labelled rows and mining by
-``FEATURES`` features; the vote histogram has at most 3 ** voters rows and counts all documents.
+The training sample is bounded by ``SAMPLE_ROWS`` labelled documents, and with it what is mined from it; the vote
+histogram has at most 3 ** voters rows and counts all documents.
 
 Defined results: null and empty texts and texts without words have no features and score by
 the intercept. Without labelled training rows of both classes the fixed lexicon alone is used. Repeated rows are
-scored each; labels, lang, source and doc_id are no inputs of a score.
+scored each; of rows that repeat a labelled doc_id one, with the smallest hash of its text, is trained on, and a
+document labelled both ways counts as toxic. Very long texts are scored whole, in chunks of rows. An empty table gives an empty
+result. Labels, lang, source and doc_id are no inputs of a score. ``score`` keeps all columns but one that has the name of the score.
 """
 
 from __future__ import annotations
@@ -31,7 +34,6 @@ from telmark.llm.shared import durable
 from telmark.llm.text_hash import chunks, span_hash, string_buffers, word_spans
 
 SAMPLE_ROWS = 30_000
-FEATURES = 4096
 MIN_SUPPORT = 4
 # Common insults and abuse, by language.
 INSULTS = (
@@ -44,7 +46,11 @@ INSULTS = (
 ).split()
 #: Kinds of features: bytes of a word's beginning, 0 for the whole word.
 KINDS = (0, 4, 5, 6, 8)
-VOTERS = ("insults", "words", "begin_4", "begin_5", "begin_6", "begin_8", "variety", "share", "repeats", "shouting")
+VOTERS = ("insults", "words", "begin_4", "begin_5", "begin_6", "begin_8", "variety", "share", "repeats", "shouting", "exclaiming", "masking", "addressing")
+# Words that address the reader, by language.
+ADDRESS = "you your yours yourself you're du dich dir dein deine tu toi ton ta vous votre te ti tú tus usted ustedes".split()
+MASK = np.zeros(256, bool)
+MASK[[33, 35, 36, 42, 64]] = True
 BREAK = np.ones(256, bool)
 BREAK[[*range(48, 58), *range(65, 91), *range(97, 123), 39, *range(128, 256)]] = False
 
@@ -61,7 +67,11 @@ def _tagged(h: np.ndarray, kind: int) -> np.ndarray:
 
 
 def _features(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]]:
-    """Row ranges with each word's row and feature hashes by kind, words per row, and letters: upper case and all."""
+    """Row ranges with each word's row and feature hashes by kind, words per row, and signs of style per row.
+
+    Signs: letters in upper case, all letters, exclamation marks that follow one, letters masked by a sign, words of address.
+    """
+    address = np.sort(_word_hash(ADDRESS))
     offsets, raw = string_buffers(batch.column("text"))
     for i, j in chunks(offsets):
         lo, hi = int(offsets[i]), int(offsets[j])
@@ -75,7 +85,12 @@ def _features(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, lis
         upper = (data >= 65) & (data <= 90)
         letter = upper | ((data >= 97) & (data <= 122))
         count = lambda m: np.diff(np.r_[0, np.cumsum(m)][rows])
-        yield i, j, r, kinds, np.bincount(r, minlength=j - i), np.stack([count(upper), count(letter)], 1)
+        runs, masked = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        runs[1:] = (data[1:] == 33) & (data[:-1] == 33)
+        masked[1:-1] = MASK[data[1:-1]] & letter[:-2] & (letter[2:] | MASK[data[2:]])
+        to = np.minimum(np.searchsorted(address, kinds[0]), len(address) - 1)
+        named = np.bincount(r[address[to] == kinds[0]], minlength=j - i)
+        yield i, j, r, kinds, np.bincount(r, minlength=j - i), np.stack([count(upper), count(letter), count(runs), count(masked), named], 1)
 
 
 @dataclass
@@ -112,7 +127,7 @@ def _rate(counts: np.ndarray, words: np.ndarray) -> np.ndarray:
     return 50.0 * counts / np.maximum(words, 25)
 
 
-def votes(model: Model, n: int, rows: np.ndarray, found: np.ndarray, words: np.ndarray, letters: np.ndarray) -> np.ndarray:
+def votes(model: Model, n: int, rows: np.ndarray, found: np.ndarray, words: np.ndarray, signs: np.ndarray) -> np.ndarray:
     """Votes of each of n rows: 1 toxic, -1 clean, 0 none."""
     kind = model.kinds[found]
     out = np.zeros((n, len(VOTERS)), np.int8)
@@ -128,7 +143,10 @@ def votes(model: Model, n: int, rows: np.ndarray, found: np.ndarray, words: np.n
     out[:, 6] = np.where((distinct >= 2) & (rate >= 0.2), 1, np.where(distinct == 0, -1, 0))
     out[:, 7] = np.where(rate >= 0.4, 1, np.where(rate < 0.05, -1, 0))
     out[:, 8] = np.where((total >= 3) & (rate >= 0.2), 1, 0)
-    out[:, 9] = np.where((letters[:, 1] >= 40) & (letters[:, 0] > 0.6 * letters[:, 1]), 1, 0)
+    out[:, 9] = np.where((signs[:, 1] >= 40) & (signs[:, 0] > 0.6 * signs[:, 1]), 1, 0)
+    out[:, 10] = np.where((signs[:, 2] >= 2) & (_rate(signs[:, 2], words) >= 0.2), 1, 0)
+    out[:, 11] = np.where((signs[:, 3] >= 1) & (_rate(signs[:, 3], words) >= 0.2), 1, 0)
+    out[:, 12] = np.where((signs[:, 4] >= 2) & (_rate(signs[:, 4], words) >= 1.0), 1, np.where((signs[:, 4] == 0) & enough, -1, 0))
     return out
 
 
@@ -160,16 +178,17 @@ def _mine(sample: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     counted = sample.select("text", "toxic").mapInArrow(run, "feature long, kind int, toxic long, clean long").groupBy("feature", "kind").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
     lift = F.log((F.col("a") + 0.5) / (pos + 1)) - F.log((F.col("b") + 0.5) / (neg + 1))
-    top = counted.filter(F.col("a") >= MIN_SUPPORT).withColumn("lift", lift).filter("lift >= 2.0").orderBy((F.col("lift") * F.sqrt("a")).desc(), "feature").limit(FEATURES).collect()
+    # What a bounded sample holds is bounded; all that passes is taken.
+    top = counted.filter(F.col("a") >= MIN_SUPPORT).withColumn("lift", lift).filter("lift >= 2.0").orderBy("feature").select("feature", "kind").collect()
     return np.array([r["feature"] for r in top], np.int64).view(np.uint64), np.array([r["kind"] for r in top], np.int64)
 
 
 def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, prior: float = 0.1) -> tuple[np.ndarray, float, np.ndarray]:
     """Accuracies ``P(vote | class)`` (voter, class, vote), the class balance and the voters' weights.
 
-    EM on the histogram. After each fit the voters' residual correlations, what agreement the two
-    classes leave unexplained, set the weight 1 / (1 + sum of |correlation|) with which a
-    voter's evidence counts, so that copies of one voter count about once.
+    EM on the histogram. Each maximisation step also estimates the voters' correlations given the class, what
+    agreement the two classes leave unexplained; a voter's evidence counts 1 / (1 + sum of |correlation|), so
+    that copies of one voter count about once. The first rounds, while classes settle, take voters as independent.
     """
     m = patterns.shape[1]
     onehot = np.stack([patterns == v for v in (-1, 0, 1)], 2).astype(float)
@@ -183,7 +202,7 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100, pri
             mass = (w * p)[:, None, None] * onehot
             acc[:, c] = (mass.sum(0) + 1e-4) / (mass.sum((0, 2))[:, None] + 3e-4)
         balance = float(np.clip((w * q).sum(), 1e-4, 0.5))
-        if step % 10 == 5:
+        if step >= 5:
             expect = lambda c: acc[:, c, 2] - acc[:, c, 0]
             x = patterns - (q[:, None] * expect(1) + (1 - q)[:, None] * expect(0))
             cov = (x * w[:, None]).T @ x
@@ -210,7 +229,7 @@ def _vote_table(docs: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = [votes(model, j - i, *model.hits(r, kinds), words, letters) for i, j, r, kinds, words, letters in _features(batch)]
+            codes = [votes(model, j - i, *model.hits(r, kinds), words, signs) for i, j, r, kinds, words, signs in _features(batch)]
             if codes:
                 code = (np.concatenate(codes).astype(np.int64) + 1) @ (3 ** np.arange(len(VOTERS)))
                 c, n = np.unique(code, return_counts=True)
@@ -247,9 +266,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
     gold = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(F.col("toxic").isin(0, 1) & (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0))
-    # Bounded before the join with texts: the rows with the smallest hashes.
-    gold = gold.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic").limit(SAMPLE_ROWS)
-    sample = durable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).join(gold, "doc_id").select("text", "toxic"))
+    # Bounded before the join with texts: the documents with the smallest hashes. So it may be broadcast.
+    gold = gold.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).join(F.broadcast(gold), "doc_id")
+    sample = durable(rows.groupBy("doc_id", "toxic").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "toxic"))
     mined, kinds = _mine(sample)
     seeds = _word_hash(INSULTS)
     fresh = ~np.isin(mined, seeds)
@@ -273,9 +293,9 @@ def _training_rows(sample: DataFrame, model: Model, acc: np.ndarray, balance: fl
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, r, kinds, words, letters in _features(batch):
+            for i, j, r, kinds, words, signs in _features(batch):
                 rows, found = model.hits(r, kinds)
-                target = posterior(votes(model, j - i, rows, found, words, letters), acc, balance, weight)
+                target = posterior(votes(model, j - i, rows, found, words, signs), acc, balance, weight)
                 code, n = np.unique(rows.astype(np.int64) * len(model.features) + found, return_counts=True)
                 row, col = code // len(model.features), code % len(model.features)
                 value = _rate(n, words[row])
@@ -289,11 +309,11 @@ def _training_rows(sample: DataFrame, model: Model, acc: np.ndarray, balance: fl
     return np.repeat(np.arange(len(lens)), lens), flat("cols").astype(np.int64), flat("vals"), got.column("target").to_numpy()
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents, all columns, with ``toxic_score`` (double)."""
+def score(docs: DataFrame, model: Model, name: str = "toxic_score") -> DataFrame:
+    """The documents, all columns, with the score (double) under ``name``; a column of theirs with that name gives way."""
     from pyspark.sql.types import DoubleType, StructField, StructType
 
-    own = docs.columns
+    own = [c for c in docs.columns if c != name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,6 +322,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 rows, found = model.hits(r, kinds)
                 z = _rate(np.bincount(rows, model.weights[found], minlength=j - i), words) + model.intercept
                 parts.append(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], pa.array(np.concatenate([*parts, np.zeros(0)]))], names=[*own, "toxic_score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in own], pa.array(np.concatenate([*parts, np.zeros(0)]))], names=[*own, name])
 
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("toxic_score", DoubleType())]))
+    return docs.select(own).mapInArrow(run, StructType([*docs.select(own).schema.fields, StructField(name, DoubleType())]))
