@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from telmark.llm import line_dedup, ngram_join, packing, secret_scan, toxicity
 from telmark.llm.queries import vocabulary
-from telmark.llm.shared import checkpoint_folder, table
+from telmark.llm.shared import checkpoint_folder, free_name, table
 
 
 def _counted(new: DataFrame, columns: list[str]) -> DataFrame:
@@ -27,12 +27,13 @@ def _counted(new: DataFrame, columns: list[str]) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
-    return toxicity.score(docs, model).filter("toxic_score < 0.5").select(docs.columns)
+    name = free_name(docs.columns, "toxic_score")
+    return toxicity.score(docs, model, name).filter(F.col(name) < 0.5).select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 characters or more that three documents share stay in one."""
-    return _counted(line_dedup.drop_lines(docs), docs.columns)
+    return _counted(line_dedup.drop_lines(docs, counts=None), docs.columns)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
