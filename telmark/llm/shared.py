@@ -41,17 +41,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, max_rounds: int = 60, task_rows: int = 100_000) -> DataFrame:
     """``(a long, b long)`` undirected edges to ``(node, component)``, the smallest node reachable.
 
     Alternating large-star and small-star steps: each turns the edges into stars around
     smaller nodes until nothing changes. A node with a very large neighbourhood costs a
     partial-aggregated minimum and a join whose hot side adaptive execution can split; no
-    neighbourhood is gathered in one row. Nodes without an edge are absent. Self edges and
-    nulls are ignored; an empty input gives an empty result.
+    neighbourhood is gathered in one row. Each step runs in a task for each ``task_rows`` edges at most, since
+    many exchanges of few rows over many partitions would cost a file for each. Nodes without an edge are
+    absent. Self edges and nulls are ignored; an empty input gives an empty result.
     """
 
-    def stars(e: DataFrame, large: bool) -> DataFrame:
+    def stars(e: DataFrame, large: bool, tasks: int) -> DataFrame:
         both = e if not large else e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         j = both.join(low, "a")
@@ -59,7 +60,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             out = j.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
             out = j.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        return out.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        return out.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).coalesce(tasks).distinct().coalesce(tasks)
 
     def mark(e: DataFrame) -> tuple:
         r = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -71,7 +72,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not before[0]:
             break
-        e = durable(stars(stars(e, True), False))
+        tasks = -(-before[0] // task_rows)
+        e = durable(stars(stars(e.coalesce(tasks), True, tasks), False, tasks))
         now = mark(e)
         if now == before:
             break
