@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telmark.functions import scalars as S
+from telmark.sources.store import stored
 
 REVISION, TERMINAL, SEQUENCE = "SMPP_PROVIDER_REVISION_CONFLICT", "SMPP_PROVIDER_TERMINAL_CONFLICT", "SMPP_PROVIDER_EVENT_SEQUENCE_CONFLICT"
 OUT_OF_ORDER, GAP = "SMPP_PROVIDER_EVENT_OUT_OF_ORDER", "SMPP_PROVIDER_EVENT_SEQUENCE_GAP"
 SEPARATOR = "\u001f"
+ALONE = "\u001e"
 
 
 def provider_identity() -> Column:
@@ -31,17 +35,23 @@ def with_identity(records: DataFrame) -> DataFrame:
     return records.withColumns({"identity": provider_identity(), "revision": S.revision_text(F.col("payload_json"), F.col("observation_revision"), F.col("command_sequence")), "terminal": provider_terminal()})
 
 
+def identity_or_own() -> Column:
+    """The identity; a record without one stands alone under its record id, so that no null key gathers them."""
+    return F.coalesce(F.col("identity"), F.concat(F.lit(ALONE), F.col("record_id")))
+
+
 def classify_records(records: DataFrame, accepted: DataFrame | None = None, order: str = "arrival_seq") -> DataFrame:
     """W2. Adds ``status`` (new, duplicate, conflict) and ``accepted_hash`` by source system and record id in arrival order.
 
-    J2: ``accepted`` holds records accepted before (source_system, record_id, record_hash); they come first.
+    J2: ``accepted`` holds records accepted before (source_system, record_id, record_hash); they come first. Of
+    several hashes that it holds for an id the least counts.
     """
     keys = ["source_system", "record_id"]
     first = F.first("record_hash").over(Window.partitionBy(*keys).orderBy(order))
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(order))
     out = records.withColumns({"_first": first, "_rn": rn})
     if accepted is not None:
-        prior = accepted.groupBy(*keys).agg(F.first("record_hash").alias("_prior"))
+        prior = accepted.groupBy(*keys).agg(F.min("record_hash").alias("_prior"))
         out = out.join(prior, keys, "left")
     else:
         out = out.withColumn("_prior", F.lit(None).cast("string"))
@@ -52,44 +62,71 @@ def classify_records(records: DataFrame, accepted: DataFrame | None = None, orde
 
 def sequence_quality(records: DataFrame, order: str = "arrival_seq") -> DataFrame:
     """W7. Adds ``sequence_reason``: out of order or gap against the largest sequence before, per identity."""
-    before = Window.partitionBy("identity").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    top = F.max("provider_event_sequence").over(before)
-    seq = F.col("provider_event_sequence")
-    return records.withColumn("sequence_reason", F.when(F.col("identity").isNotNull() & (seq < top), OUT_OF_ORDER).when(F.col("identity").isNotNull() & (seq > top + 1), GAP))
+    before = Window.partitionBy("_who").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    marked = records.withColumn("_who", identity_or_own()).withColumn("_top", F.max("provider_event_sequence").over(before))
+    return marked.withColumn("sequence_reason", _order_reason(F.col("identity").isNotNull())).drop("_who", "_top")
+
 
+def _order_reason(applies: Column) -> Column:
+    seq, top = F.col("provider_event_sequence"), F.col("_top")
+    return F.when(applies & (seq < top), OUT_OF_ORDER).when(applies & (seq > top + 1), GAP)
 
-def assess_windowed(records: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """W8 by windows: exact unless a blocked record's revision, terminal state or sequence is the first of its kind.
 
-    W4-W6 ask whether an earlier record of the identity holds the same revision or sequence with
-    another hash, or another terminal state.
+def _judged(rows: DataFrame, record_key: list[str], order: str) -> DataFrame:
+    """W2 and W4 to W6 for every row against those before it for which ``_accepted`` holds.
+
+    Adds the known hash of the record id, the blocking code, the largest sequence before, and ``_next``: whether the row would be accepted.
+    """
+    def before(*keys: str) -> Window:
+        return Window.partitionBy(*keys).orderBy(order, "_row").rowsBetween(Window.unboundedPreceding, -1)
+
+    def evidence(c: str) -> Column:
+        return F.when(F.col("_accepted"), F.col(c))
+
+    def clash(c: str, *keys: str) -> Column:
+        w = before(*keys)
+        return F.coalesce((F.min(evidence(c)).over(w) != F.col(c)) | (F.max(evidence(c)).over(w) != F.col(c)), F.lit(False))
+
+    has = F.col("identity").isNotNull()
+    # One exchange by identity serves its three windows.
+    out = rows.withColumn("_who", identity_or_own()).repartition("_who")
+    out = out.withColumn("_revision", has & F.col("revision").isNotNull() & clash("record_hash", "_who", "revision"))
+    out = out.withColumns({"_terminal": has & clash("terminal", "_who"), "_top": F.max(evidence("provider_event_sequence")).over(before("_who"))})
+    out = out.withColumn("_sequence", has & F.col("provider_event_sequence").isNotNull() & clash("record_hash", "_who", "provider_event_sequence"))
+    out = out.withColumn("_known", F.first(evidence("record_hash"), ignorenulls=True).over(before(*record_key)))
+    code = F.when(F.col("_revision"), REVISION).when(F.col("_terminal"), TERMINAL).when(F.col("_sequence"), SEQUENCE)
+    out = out.withColumn("_code", F.when(F.col("_known").isNull(), code))
+    return out.withColumn("_next", F.col("_valid") & F.col("_known").isNull() & F.col("_code").isNull())
+
+
+def assess(records: DataFrame, valid: Column | None = None, order: str = "arrival_seq") -> DataFrame:
+    """W2 and W8 together, exactly as if records were judged one by one in arrival order; a blocked record leaves no trace.
+
+    Adds ``outcome`` (duplicate, conflict, semantic_conflict, not_applicable, accepted_with_quality_issue, accepted;
+    null where ``valid`` does not hold), ``accepted_hash``, ``blocking_code``, ``quality_status`` and ``reason_codes``. What a
+    record is depends on which ones before it were accepted, so windows are worked to a fixpoint: the more are taken
+    for accepted, the fewer are accepted next. Every second round therefore bounds the accepted ones from above and every
+    other from below, and where two rounds agree they are exact. Two rounds are enough unless blocked records are
+    the only evidence against others; each further one settles a step of such a chain. Records are written once and read back.
     """
-    def clash(*keys: str) -> Column:
-        w = Window.partitionBy("identity", *keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.col("identity").isNotNull() & F.col(keys[0]).isNotNull() & (F.last("record_hash").over(w) != F.col("record_hash"))
-
-    first_terminal = F.first("terminal", ignorenulls=True).over(Window.partitionBy("identity").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    marked = records.withColumns({"_rev": clash("revision"), "_term": F.col("identity").isNotNull() & (F.col("terminal") != first_terminal)})
-    code = F.when(F.col("_rev"), REVISION).when(F.col("_term"), TERMINAL)
-    marked = marked.withColumn("_code", code)
-    # Sequences are judged against records that the first two rules let pass.
-    open_ = F.col("_code").isNull()
-    seen = F.when(open_, F.col("provider_event_sequence"))
-    marked = marked.withColumn("_seen", seen)
-    prior = Window.partitionBy("identity", "provider_event_sequence").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    repeat = F.col("identity").isNotNull() & F.col("provider_event_sequence").isNotNull() & (F.first(F.when(open_, F.col("record_hash")), ignorenulls=True).over(prior) != F.col("record_hash"))
-    marked = marked.withColumn("blocking_code", F.when(open_ & repeat, SEQUENCE).otherwise(F.col("_code")))
-    top = F.max(F.when(F.col("blocking_code").isNull(), F.col("provider_event_sequence"))).over(Window.partitionBy("identity").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    marked = marked.withColumn("_top", top)
-    return _verdict(marked, F.col("_top")).drop("_rev", "_term", "_code", "_seen", "_top")
-
-
-def _verdict(df: DataFrame, top: Column) -> DataFrame:
-    seq, ok = F.col("provider_event_sequence"), F.col("blocking_code").isNull() & F.col("identity").isNotNull()
-    reason = F.when(ok & (seq < top), OUT_OF_ORDER).when(ok & (seq > top + 1), GAP)
-    status = F.when(F.col("identity").isNull(), "not_applicable").when(F.col("blocking_code").isNotNull(), "conflict").when(reason.isNotNull(), "accepted_with_quality_issue").otherwise("accepted")
-    reasons = F.array_compact(F.array(F.coalesce(F.col("blocking_code"), reason)))
-    return df.withColumns({"quality_status": status, "reason_codes": reasons})
+    record_key = [c for c in ("source_system", "record_id") if c in records.columns]
+    ok = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
+    base = stored(records.withColumns({"_row": F.monotonically_increasing_id(), "_valid": ok}), "records")
+    used = list(dict.fromkeys(["_row", "_valid", order, *record_key, "record_hash", "identity", "revision", "terminal", "provider_event_sequence"]))
+    rows = base.select(*used, F.col("_valid").alias("_accepted"))
+    while True:
+        once = _judged(rows, record_key, order).select(*used, F.col("_next").alias("_accepted"))
+        verdict = stored(_judged(once, record_key, order).select("_row", "_accepted", "_next", "_known", "_code", "_top"), "verdicts")
+        if verdict.filter("_accepted <> _next").isEmpty():
+            break
+        rows = base.select(used).join(verdict.select("_row", F.col("_next").alias("_accepted")), "_row")
+    out = base.join(verdict.drop("_accepted"), "_row")
+    reason = _order_reason(F.col("_next") & F.col("identity").isNotNull())
+    out = out.withColumns({"accepted_hash": F.when(F.col("_valid"), F.col("_known")), "blocking_code": F.when(F.col("_valid"), F.col("_code")), "_reason": reason})
+    quality = F.when(F.col("identity").isNull(), "not_applicable").when(F.col("blocking_code").isNotNull(), "conflict").when(F.col("_reason").isNotNull(), "accepted_with_quality_issue").otherwise("accepted")
+    out = out.withColumns({"quality_status": F.when(F.col("_valid") & F.col("_known").isNull(), quality), "reason_codes": F.array_compact(F.array(F.coalesce("blocking_code", "_reason")))})
+    outcome = F.when(F.col("accepted_hash") == F.col("record_hash"), "duplicate").when(F.col("accepted_hash").isNotNull(), "conflict").when(F.col("blocking_code").isNotNull(), "semantic_conflict").otherwise(F.col("quality_status"))
+    return out.withColumn("outcome", F.when(F.col("_valid"), outcome)).drop("_row", "_valid", "_next", "_known", "_code", "_top", "_reason")
 
 
 class DictStore:
@@ -145,17 +182,22 @@ FOLD_COLUMNS = ["arrival_seq", "provider_id", "record_id", "record_hash", "ident
 FOLD_SCHEMA = "arrival_seq long, outcome string, accepted_hash string, reason_codes array<string>"
 
 
-def assess_sequential(records: DataFrame, key: str = "provider_id") -> DataFrame:
-    """W2 and W8 together, exactly: one fold per provider over its records in arrival order.
+def assess_sequential(records: DataFrame) -> DataFrame:
+    """W2 and W8 as one fold per identity, rows streamed in arrival order; the batch form of the streaming fold.
 
-    Use it where blocked first arrivals may come again; the windowed form scales better for hot providers.
+    A record id that comes under two identities is judged apart in each; ``assess`` has no such limit, and keeps no state.
     """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        store = DictStore()
-        pdf = pdf.astype(object).where(pdf.notna(), None).sort_values("arrival_seq")
-        rows = [(r["arrival_seq"], *fold(store, r)) for r in pdf.to_dict("records")]
-        return pd.DataFrame(rows, columns=["arrival_seq", "outcome", "accepted_hash", "reason_codes"])
-
-    verdicts = records.select(*FOLD_COLUMNS).groupBy(key).applyInPandas(run, FOLD_SCHEMA)
-    return records.join(verdicts, "arrival_seq")
-
+    schema = pa.schema([("arrival_seq", pa.int64()), ("outcome", pa.string()), ("accepted_hash", pa.string()), ("reason_codes", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, own = DictStore(), None
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if r["who"] != own:
+                    store, own = DictStore(), r["who"]
+                out.append(dict(zip(schema.names, (r["arrival_seq"], *fold(store, r)), strict=True)))
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
+
+    rows = records.select(*FOLD_COLUMNS, identity_or_own().alias("who")).repartition("who").sortWithinPartitions("who", "arrival_seq")
+    return records.join(rows.mapInArrow(run, FOLD_SCHEMA), "arrival_seq")

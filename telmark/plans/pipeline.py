@@ -8,37 +8,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telmark.operators import classify, mapping, normalize, project, validate
+from telmark.sources.store import stored
 
 
 @dataclass
 class Classified:
-    """Records by outcome; every record is in exactly one."""
+    """All records with their ``outcome``; each is in exactly one of the frames below, which are filters of one table."""
 
-    accepted: DataFrame
-    duplicates: DataFrame
-    conflicts: DataFrame
-    rejected: DataFrame
+    records: DataFrame
+
+    def _of(self, *outcomes: str) -> DataFrame:
+        return self.records.filter(F.col("outcome").isin(*outcomes))
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self._of("accepted", "accepted_with_quality_issue", "not_applicable")
+
+    @property
+    def duplicates(self) -> DataFrame:
+        return self._of("duplicate")
+
+    @property
+    def conflicts(self) -> DataFrame:
+        return self._of("conflict", "semantic_conflict")
+
+    @property
+    def rejected(self) -> DataFrame:
+        return self._of("rejected")
 
     def outcomes(self) -> DataFrame:
         """``(arrival_seq, outcome, error_code)`` of all records."""
-        cols = lambda df, o, e: df.select("arrival_seq", o.alias("outcome"), e.alias("error_code"))
-        none = F.lit(None).cast("string")
-        kind = F.when(F.col("blocking_code").isNotNull(), "semantic_conflict").otherwise("conflict")
-        return cols(self.accepted, F.col("quality_status"), none).unionByName(cols(self.duplicates, F.lit("duplicate"), none)).unionByName(cols(self.conflicts, kind, F.col("blocking_code"))).unionByName(cols(self.rejected, F.lit("rejected"), F.col("error_code")))
+        return self.records.select("arrival_seq", "outcome", F.coalesce("error_code", "blocking_code").alias("error_code"))
 
 
 def classify_all(records: DataFrame, mappings: DataFrame) -> Classified:
-    """Validate, map, classify and assess. Only the last two shuffle: by record id, then by identity."""
-    checked = validate.validate_envelopes(records)
-    mapped = mapping.resolve_source_mapping(checked, mappings)
+    """Validate, map, classify and assess. Checked and mapped records are written once; only the columns that order depends on shuffle."""
+    mapped = mapping.resolve_source_mapping(validate.validate_envelopes(records), mappings)
     mapped = mapped.withColumn("error_code", F.coalesce("error_code", F.when(F.col("mapping").isNull(), "SOURCE_UNMAPPED")))
-    rejected = mapped.filter("error_code IS NOT NULL")
-    known = classify.classify_records(mapped.filter("error_code IS NULL"))
-    assessed = classify.assess_windowed(classify.with_identity(known.filter("status = 'new'")))
-    blocked = assessed.filter("blocking_code IS NOT NULL")
-    changed = known.filter("status = 'conflict'").withColumn("blocking_code", F.lit(None).cast("string"))
-    conflicts = changed.unionByName(blocked.select(changed.columns))
-    return Classified(assessed.filter("blocking_code IS NULL"), known.filter("status = 'duplicate'"), conflicts, rejected)
+    assessed = classify.assess(classify.with_identity(mapped), F.col("error_code").isNull())
+    return Classified(assessed.withColumn("outcome", F.coalesce("outcome", F.lit("rejected"))))
 
 
 def facts_of(accepted: DataFrame, delay: str = "1 second") -> DataFrame:
@@ -51,9 +59,9 @@ def projected_at(delay: str = "1 second") -> Column:
 
 
 def layers(records: DataFrame, mappings: DataFrame) -> dict[str, DataFrame]:
-    """All tables of the standalone warehouse, by ``layer.table``."""
+    """All tables of the standalone warehouse, by ``layer.table``. Facts are written once."""
     c = classify_all(records, mappings)
-    facts = facts_of(c.accepted)
+    facts = stored(facts_of(c.accepted), "facts")
     core = project.core_rows(facts, projected_at("2 seconds"))
     return {
         "landing.provider_ops": project.landing_rows(c.accepted, projected_at()),

@@ -6,6 +6,7 @@ them alike.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from telmark.operators import classify, mapping, normalize, project, serving, va
 from telmark.plans import fixtures, pipeline
 from telmark.plans.oracles import oracle, uuid5
 from telmark.sources import otlp, tables
+from telmark.sources.store import checkpoint_folder, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -59,8 +61,17 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.facts_of(classified(spark, sf_dir).accepted)
 
 
+def written_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts for queries that use them several times."""
+    return stored(facts(spark, sf_dir), "facts")
+
+
+def core_of(f: DataFrame) -> DataFrame:
+    return project.core_rows(f, pipeline.projected_at("2 seconds"))
+
+
 def core(spark: SparkSession, sf_dir: str, table: str | None = None) -> DataFrame:
-    rows = project.core_rows(facts(spark, sf_dir), pipeline.projected_at("2 seconds"))
+    rows = core_of(facts(spark, sf_dir))
     return rows if table is None else rows.filter(F.col("core_table") == table)
 
 
@@ -148,18 +159,22 @@ def _(spark, sf):
 
 
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full envelope texts; each 11th has a forbidden key, each 13th a forbidden value."""
+    """Envelope texts; each 11th has a forbidden key, each 13th a forbidden value, every second of these spelled with an escape."""
     r = records(spark, sf_dir)
-    extra = F.when(F.col("arrival_seq") % 11 == 0, F.lit("secretValue")).otherwise(F.lit("note"))
-    value = F.when(F.col("arrival_seq") % 13 == 0, F.lit("Bearer abc.def")).otherwise(F.lit("plain"))
+    n = F.col("arrival_seq")
+    extra = F.when(n % 22 == 0, F.lit("secr\\u0065tValue")).when(n % 11 == 0, F.lit("secretValue")).otherwise(F.lit("note"))
+    value = F.when(n % 26 == 0, F.lit("Be\\u0061rer abc.def")).when(n % 13 == 0, F.lit("Bearer abc.def")).otherwise(F.lit("plain"))
     body = F.concat(F.lit('{"recordId":"'), "record_id", F.lit('","payload":'), "payload_json", F.lit(',"'), extra, F.lit('":"'), value, F.lit('"}'))
     return r.select("arrival_seq", "record_id", "payload_json", body.alias("envelope_json"))
 
 
 @query("s3_read_envelopes", "SELECT arrival_seq, record_id, payload_json FROM tin")
 def _(spark, sf):
-    e = validate.parse_envelopes(_envelopes(spark, sf).select("arrival_seq", "envelope_json"))
-    return e.select("arrival_seq", "record_id", "payload_json")
+    path = f"{checkpoint_folder(spark)}/envelopes-{uuid.uuid4().hex}"
+    body = F.concat(F.lit('{"arrivalSeq":'), F.col("arrival_seq").cast("string"), F.lit(","), F.substring("envelope_json", 2, 2**31 - 1))
+    _envelopes(spark, sf).select(body.alias("value")).write.text(path)
+    e = validate.parse_envelopes(otlp.read_envelopes(spark, path))
+    return e.select(F.get_json_object("envelope_json", "$.arrivalSeq").cast("long").alias("arrival_seq"), "record_id", "payload_json")
 
 
 @query("p7_scan_sensitive", "SELECT arrival_seq, CASE WHEN arrival_seq % 11 = 0 THEN 'SENSITIVE_KEY_DETECTED' WHEN arrival_seq % 13 = 0 THEN 'SENSITIVE_VALUE_DETECTED' END AS code FROM tin")
@@ -169,7 +184,7 @@ def _(spark, sf):
 
 @query("p8_forbid_evaluation_identity", "SELECT arrival_seq, CASE WHEN arrival_seq % 17 = 0 THEN 'SMPP_EVALUATION_DOMAIN_IDENTITY_FORBIDDEN' END AS code FROM tin")
 def _(spark, sf):
-    key = F.when(F.col("arrival_seq") % 17 == 0, F.lit("M12")).otherwise(F.lit("m12x"))
+    key = F.when(F.col("arrival_seq") % 34 == 0, F.lit("M\\u00312")).when(F.col("arrival_seq") % 17 == 0, F.lit("M12")).otherwise(F.lit("m12x"))
     body = F.concat(F.lit('{"a":{"'), key, F.lit('":"grade"},"p":'), "payload_json", F.lit("}"))
     return records(spark, sf).select("arrival_seq", validate.forbid_evaluation_identity(body).alias("code"))
 
@@ -265,9 +280,9 @@ def _(spark, sf):
 QUERIES["f10_extract_semantics"], ORACLES["f10_extract_semantics"] = QUERIES["j4_payload_catalog_join"], ORACLES["j4_payload_catalog_join"]
 
 
-def _two(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The facts of two warehouses: the second lacks some, changes some and is later."""
-    c = core(spark, sf_dir).select("fact_id", "source_record_id", F.col("source_record_hash").alias("fact_hash"), "projected_at", "fact_type")
+def _two(spark: SparkSession, sf_dir: str, f: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The facts of two warehouses: the second lacks some, changes some and is earlier."""
+    c = (core(spark, sf_dir) if f is None else core_of(f)).select("fact_id", "source_record_id", F.col("source_record_hash").alias("fact_hash"), "projected_at", "fact_type")
     n = F.conv(F.substring("source_record_id", 1, 4), 16, 10).cast("long")
     b = c.filter(n % 50 != 0).withColumn("fact_hash", F.when(n % 50 == 1, F.lit("changed")).otherwise(F.col("fact_hash"))).withColumn("projected_at", F.col("projected_at") - F.expr("INTERVAL 1 second"))
     return c, b
@@ -288,14 +303,15 @@ def _(spark, sf):
 
 @query("j6_relation_coverage", "SELECT count(*) AS expected_facts, count(*) FILTER (WHERE src % 4 = 0) AS covered_facts, count(*) FILTER (WHERE src % 4 = 0) / count(*) AS coverage FROM facts WHERE src % 2 = 0")
 def _(spark, sf):
-    f = facts(spark, sf)
+    f = written_facts(spark, sf)
     return verify.relation_coverage(f.join(records(spark, sf).filter("src % 2 = 0").select("arrival_seq"), "arrival_seq", "left_semi"), project.project_core_relations(f))
 
 
 @query("j7_layer_lineage", "SELECT CASE WHEN core_table IS NULL THEN 'not_projected' ELSE 'complete' END AS lineage, count(*) AS records FROM core GROUP BY 1")
 def _(spark, sf):
-    f = facts(spark, sf)
-    return verify.layer_lineage(landing(spark, sf), f, core(spark, sf).filter("core_table IS NOT NULL"))
+    accepted = classified(spark, sf).accepted
+    f = stored(pipeline.facts_of(accepted), "facts")
+    return verify.layer_lineage(project.landing_rows(accepted, pipeline.projected_at()), f, core_of(f).filter("core_table IS NOT NULL"))
 
 
 _URN = "urn:telemetry:t1:smpp:dep-1:task:task-16"
@@ -382,7 +398,9 @@ def _(spark, sf):
 
 @query("a8_layer_counts", "SELECT layer, n AS row_count, true AS parity FROM (SELECT count(*) AS n FROM accepted) a, (VALUES ('landing'), ('normalized'), ('core')) l(layer)")
 def _(spark, sf):
-    return serving.layer_counts({"landing": landing(spark, sf), "normalized": facts(spark, sf), "core": core(spark, sf)})
+    accepted = classified(spark, sf).accepted
+    f = stored(pipeline.facts_of(accepted), "facts")
+    return serving.layer_counts({"landing": project.landing_rows(accepted, pipeline.projected_at()), "normalized": f, "core": core_of(f)})
 
 
 @query("a9_landing_profile", "SELECT count(*) AS \"rows\", count(DISTINCT record_id) AS unique_records, epoch_ms(min(occurred_at)) AS min_occurred_at, epoch_ms(max(occurred_at)) AS max_occurred_at, epoch_ms(max(received_at) + INTERVAL '1' SECOND) AS max_ingested_at, count(*) - count(DISTINCT record_id) AS duplicates, (epoch_ms(max(received_at) + INTERVAL '1' SECOND) - epoch_ms(max(occurred_at))) / 1000.0 AS lag_seconds FROM accepted")
@@ -434,14 +452,16 @@ def _assessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("w4_revision_conflict", "SELECT arrival_seq, local_id IS NOT NULL AND row_number() OVER (PARTITION BY provider_id, instance_id, record_type, local_id, src % 1000 ORDER BY arrival_seq) > 1 AS blocked FROM ident")
 def _(spark, sf):
-    r = _assessed(spark, sf).withColumn("revision", (F.col("src") % 1000).cast("string"))
-    return classify.assess_windowed(r).select("arrival_seq", F.coalesce(F.col("blocking_code") == classify.REVISION, F.lit(False)).alias("blocked"))
+    # Only this rule is to act: a record that another one blocks would leave no trace here.
+    r = _assessed(spark, sf).withColumns({"revision": (F.col("src") % 1000).cast("string"), "terminal": F.lit(None).cast("string"), "provider_event_sequence": F.lit(None).cast("bigint")})
+    return classify.assess(r).select("arrival_seq", F.coalesce(F.col("blocking_code") == classify.REVISION, F.lit(False)).alias("blocked"))
 
 
 @query("w5_terminal_conflict", "SELECT arrival_seq, coalesce(t <> first_value(t IGNORE NULLS) OVER (PARTITION BY provider_id, instance_id, record_type, local_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AND local_id IS NOT NULL AS blocked FROM (SELECT *, CASE WHEN src % 3 = 0 THEN 'done' WHEN src % 31 = 1 THEN 'failed' END AS t FROM ident) x")
 def _(spark, sf):
     t = F.when(F.col("src") % 3 == 0, "done").when(F.col("src") % 31 == 1, "failed")
-    return classify.assess_windowed(_assessed(spark, sf).withColumn("terminal", t)).select("arrival_seq", F.coalesce(F.col("blocking_code") == classify.TERMINAL, F.lit(False)).alias("blocked"))
+    r = _assessed(spark, sf).withColumns({"terminal": t, "revision": F.lit(None).cast("string"), "provider_event_sequence": F.lit(None).cast("bigint")})
+    return classify.assess(r).select("arrival_seq", F.coalesce(F.col("blocking_code") == classify.TERMINAL, F.lit(False)).alias("blocked"))
 
 
 _W8 = "SELECT arrival_seq, CASE WHEN NOT has_identity THEN 'not_applicable' WHEN blocking_code IS NOT NULL THEN 'conflict' WHEN reason IS NOT NULL THEN 'accepted_with_quality_issue' ELSE 'accepted' END AS quality_status, coalesce(blocking_code, reason, '') AS reason_codes FROM judged"
@@ -449,7 +469,7 @@ _W8 = "SELECT arrival_seq, CASE WHEN NOT has_identity THEN 'not_applicable' WHEN
 
 @query("w6_sequence_conflict", "SELECT arrival_seq, blocking_code FROM judged WHERE blocking_code IS NOT NULL")
 def _(spark, sf):
-    return classify.assess_windowed(_assessed(spark, sf)).filter("blocking_code IS NOT NULL").select("arrival_seq", "blocking_code")
+    return classify.assess(_assessed(spark, sf)).filter("blocking_code IS NOT NULL").select("arrival_seq", "blocking_code")
 
 
 @query("w7_sequence_quality", "SELECT arrival_seq, CASE WHEN local_id IS NOT NULL AND provider_event_sequence < t THEN 'SMPP_PROVIDER_EVENT_OUT_OF_ORDER' WHEN local_id IS NOT NULL AND provider_event_sequence > t + 1 THEN 'SMPP_PROVIDER_EVENT_SEQUENCE_GAP' END AS sequence_reason FROM (SELECT *, max(provider_event_sequence) OVER (PARTITION BY provider_id, instance_id, record_type, local_id ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS t FROM ident) x")
@@ -459,7 +479,7 @@ def _(spark, sf):
 
 @query("w8_assess_provider_events", _W8)
 def _(spark, sf):
-    return classify.assess_windowed(_assessed(spark, sf)).select("arrival_seq", "quality_status", "reason_codes")
+    return classify.assess(_assessed(spark, sf)).select("arrival_seq", "quality_status", "reason_codes")
 
 
 @query("w8_assess_sequential", "SELECT arrival_seq, status AS outcome FROM cls WHERE status <> 'new' UNION ALL SELECT arrival_seq, CASE WHEN NOT has_identity THEN 'not_applicable' WHEN blocking_code IS NOT NULL THEN 'semantic_conflict' WHEN reason IS NOT NULL THEN 'accepted_with_quality_issue' ELSE 'accepted' END FROM judged")
@@ -526,7 +546,8 @@ def _(spark, sf):
 
 @query("g5_relation_identity_parity", "SELECT count(DISTINCT relation_id) AS relations, count(DISTINCT relation_id) >= 48 AS passed FROM rel")
 def _(spark, sf):
-    return verify.relation_identity_parity(relations(spark, sf), project.project_shared_relations(facts(spark, sf), F.col("created_at")), 48)
+    f = written_facts(spark, sf)
+    return verify.relation_identity_parity(project.project_core_relations(f), project.project_shared_relations(f, F.col("created_at")), 48)
 
 
 # Scalar functions
@@ -651,11 +672,22 @@ def _(spark, sf):
     return project.project_shared_relations(facts(spark, sf), F.col("created_at")).select("relation_id", "source_entity_type", "source_entity_id", "target_entity_type", "target_entity_id")
 
 
-@query("n10_check_target_schema", "SELECT tenant_id, count(*) AS n FROM accepted GROUP BY 1")
+@query("n10_check_target_schema", "SELECT c.target, c.code, n.n FROM (VALUES ('same', ''), ('renamed column', 'SMPP_SCHEMA_DRIFT'), ('other type', 'SMPP_SCHEMA_DRIFT'), ('other order', 'SMPP_SCHEMA_DRIFT'), ('lost column', 'SMPP_SCHEMA_DRIFT')) c(target, code), (SELECT count(*) AS n FROM facts) n")
 def _(spark, sf):
+    from pyspark.sql import types as T
+
     shared = project.project_shared_provider(facts(spark, sf), pipeline.projected_at())
-    project.check_target_schema(shared, shared.schema)
-    return shared.groupBy("tenant_id").agg(F.count("*").alias("n"))
+    fields = list(shared.schema)
+    targets = {"same": fields, "renamed column": [T.StructField("x", fields[0].dataType), *fields[1:]], "other type": [T.StructField(fields[0].name, T.BinaryType()), *fields[1:]], "other order": fields[::-1], "lost column": fields[1:]}
+    codes = []
+    for name, wanted in targets.items():
+        try:
+            project.check_target_schema(shared, T.StructType(wanted))
+            codes.append((name, ""))
+        except ValueError as error:
+            codes.append((name, str(error)))
+    found = F.explode(F.array(*[F.struct(F.lit(t).alias("target"), F.lit(c).alias("code")) for t, c in codes])).alias("c")
+    return shared.agg(F.count("*").alias("n")).select(found, "n").select("c.target", "c.code", "n")
 
 
 @query("n11_normalization_dead_letter", "SELECT record_id AS source_record_id, 'SMPP_PAYLOAD_CONTRACT_INVALID' AS error_code FROM facts WHERE record_type = 'provider.resource.state' AND src % 3 = 0")
@@ -703,18 +735,25 @@ def _(spark, sf):
 # Verification
 @query("v1_shadow_parity", f"SELECT count(*) AS a_count, count(*) FILTER (WHERE {_N} % 50 <> 0) AS b_count, CAST(count(*) FILTER (WHERE {_N} % 50 = 0) AS BIGINT) AS missing, CAST(count(*) FILTER (WHERE {_N} % 50 = 1) AS BIGINT) AS hash_mismatch, 'failed' AS status FROM facts")
 def _(spark, sf):
-    a, b = _two(spark, sf)
-    return verify.shadow_parity(a, b, relations(spark, sf), facts(spark, sf), 5000, 0.0).select("a_count", "b_count", "missing", "hash_mismatch", "status")
+    f = written_facts(spark, sf)
+    a, b = _two(spark, sf, f)
+    return verify.shadow_parity(a, b, project.project_core_relations(f), f, 5000, 0.0).select("a_count", "b_count", "missing", "hash_mismatch", "status")
 
 
-@query("v2_e2e_checks", "SELECT true AS count_parity, true AS fact_hash_parity, count(DISTINCT record_type) = 16 AS all_types, true AS projection_identity, (SELECT count(*) FROM rel) >= 48 AS relation_identity FROM facts")
+@query("v2_e2e_checks", f"SELECT count(*) FILTER (WHERE {_N} % 50 = 0) = 0 AS count_parity, count(*) FILTER (WHERE {_N} % 50 IN (0, 1)) = 0 AS fact_hash_parity, epoch_ms(max(projected_at)) - epoch_ms(max(projected_at) FILTER (WHERE {_N} % 50 <> 0)) + 1000 <= 5000 AS watermark_parity, count(DISTINCT record_type) = 16 AS all_types, true AS projection_identity, (SELECT count(*) >= 48 AND count(*) FILTER (WHERE {_N} % 50 = 0) = 0 FROM rel) AS relation_identity FROM core")
 def _(spark, sf):
-    a, r = core(spark, sf), relations(spark, sf)
-    parity = verify.shadow_parity(a, a, r, facts(spark, sf), 5000, 0.0)
-    return verify.e2e_checks(parity, a, r, r, a).select("count_parity", "fact_hash_parity", "all_types", "projection_identity", "relation_identity")
+    f = written_facts(spark, sf)
+    a, b = _two(spark, sf, f)
+    r = project.project_core_relations(f)
+    there = project.project_core_relations(f.join(b.select("fact_id"), "fact_id", "left_semi"))
+    parity = verify.shadow_parity(a, b, r, f, 5000, 0.0)
+    c = core_of(f)
+    return verify.e2e_checks(parity, c, r, there, c).select("count_parity", "fact_hash_parity", "watermark_parity", "all_types", "projection_identity", "relation_identity")
 
 
-@query("v3_migration_consistency", "SELECT 'record_ids' AS metric, CAST(count(DISTINCT record_id) AS VARCHAR) AS value FROM accepted UNION ALL SELECT 'min_occurred_at', CAST(epoch_ms(min(occurred_at)) AS VARCHAR) FROM accepted UNION ALL SELECT 'core_facts', CAST(count(DISTINCT fact_id) AS VARCHAR) FROM facts UNION ALL SELECT 'records_' || record_type, CAST(count(*) AS VARCHAR) FROM accepted GROUP BY record_type")
+@query("v3_migration_consistency", "SELECT 'record_ids' AS metric, CAST(count(DISTINCT record_id) AS VARCHAR) AS value FROM accepted UNION ALL SELECT 'record_hash_sum', CAST(sum(CAST('0x' || substr(record_hash, 1, 8) AS HUGEINT)) AS VARCHAR) FROM accepted UNION ALL SELECT 'min_occurred_at', CAST(epoch_ms(min(occurred_at)) AS VARCHAR) FROM accepted UNION ALL SELECT 'max_occurred_at', CAST(epoch_ms(max(occurred_at)) AS VARCHAR) FROM accepted UNION ALL SELECT 'conflicts', CAST(count(*) AS VARCHAR) FROM (" + _CONFLICT_SQL + ") UNION ALL SELECT 'not_normalizable', '0' UNION ALL SELECT 'core_facts', CAST(count(DISTINCT fact_id) AS VARCHAR) FROM facts UNION ALL SELECT 'normalized_facts', CAST(count(DISTINCT fact_id) AS VARCHAR) FROM facts UNION ALL SELECT 'records_' || record_type, CAST(count(*) AS VARCHAR) FROM accepted GROUP BY record_type")
 def _(spark, sf):
-    m = verify.migration_consistency(landing(spark, sf), facts(spark, sf), core(spark, sf), conflicts(spark, sf), diverted(spark, sf)[1])
-    return m.filter(F.col("metric").isin("record_ids", "min_occurred_at", "core_facts") | F.col("metric").startswith("records_"))
+    c = classified(spark, sf)
+    f = stored(pipeline.facts_of(c.accepted), "facts")
+    dead = normalize.dead_letters(f, project.shared_error(f), pipeline.projected_at())[1]
+    return verify.migration_consistency(project.landing_rows(c.accepted, pipeline.projected_at()), f, core_of(f), project.conflict_rows(c.conflicts), dead)

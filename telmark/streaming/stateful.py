@@ -1,4 +1,4 @@
-"""Stateful classification of a stream: the exact sequential fold, keyed by provider."""
+"""Stateful classification of a stream: the sequential fold, keyed by identity."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from telmark.operators.classify import FOLD_COLUMNS, fold, with_identity
+from telmark.operators.classify import FOLD_COLUMNS, fold, identity_or_own, with_identity
 
 OUTPUT = T.StructType([
     T.StructField("provider_id", T.StringType()), T.StructField("arrival_seq", T.LongType()), T.StructField("outcome", T.StringType()),
@@ -19,7 +19,7 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 class _Fold(StatefulProcessor):
-    """One map state per provider: each entry is read and written alone, so state size costs nothing per batch."""
+    """One map state per identity: each entry is read and written alone, so state size costs nothing per batch."""
 
     def __init__(self, ttl_ms: int | None = None):
         self.ttl_ms = ttl_ms
@@ -38,7 +38,7 @@ class _Fold(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         pdf = pd.concat(list(rows))
         pdf = pdf.astype(object).where(pdf.notna(), None).sort_values("arrival_seq")
-        out = [(key[0], int(r["arrival_seq"]), *fold(self, r)) for r in pdf.to_dict("records")]
+        out = [(r["provider_id"], int(r["arrival_seq"]), *fold(self, r)) for r in pdf.to_dict("records")]
         yield pd.DataFrame(out, columns=OUTPUT.names)
 
     def close(self) -> None:
@@ -53,8 +53,9 @@ def use_rocksdb(spark: SparkSession) -> None:
 def stateful_classify(stream: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """T4. ``(provider_id, arrival_seq, outcome, accepted_hash, reason_codes)`` of a stream of valid records.
 
-    Records of one provider are folded in arrival order within and across micro-batches. State is
+    Records of one identity are folded in arrival order within and across micro-batches; a record without one stands
+    alone under its record id. A record id that comes under two identities is judged apart in each. State is
     unbounded unless ``ttl_ms`` is set, which may miss repeats older than that.
     """
-    rows = with_identity(stream).select(*FOLD_COLUMNS)
-    return rows.groupBy("provider_id").transformWithStateInPandas(statefulProcessor=_Fold(ttl_ms), outputStructType=OUTPUT, outputMode="append", timeMode="none" if ttl_ms is None else "processingTime")
+    rows = with_identity(stream).select(*FOLD_COLUMNS, identity_or_own().alias("who"))
+    return rows.groupBy("who").transformWithStateInPandas(statefulProcessor=_Fold(ttl_ms), outputStructType=OUTPUT, outputMode="append", timeMode="none" if ttl_ms is None else "processingTime")
