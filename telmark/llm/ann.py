@@ -181,7 +181,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, factor: float = 1
     index = v.select("dim", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("asks"), "vec_id", "embedding")
     asked = v.filter(is_query).select("dim", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("asks"), "vec_id", "embedding")
     order = ["dim", "shard", "asks", "vec_id"]
-    both = index.unionByName(asked).repartition(shards, "dim", "shard").sortWithinPartitions(*order)
+    # By range, so that each shard has a task of its own.
+    both = index.unionByName(asked).repartitionByRange(shards, "shard").sortWithinPartitions(*order)
     found = both.mapInArrow(_search(k, factor), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

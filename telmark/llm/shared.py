@@ -2,24 +2,10 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only in local mode one is made here where that is unset."""
-    sc = spark.sparkContext
-    found = sc._jsc.sc().getCheckpointDir()
-    if found.isEmpty():
-        given = spark.conf.get("spark.checkpoint.dir", None)
-        if not given and not re.fullmatch(r"local(\[.*\])?", sc.master):
-            raise ValueError("spark.checkpoint.dir is not set; it must name a folder that all machines share")
-        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-checkpoint-"))
-        found = sc._jsc.sc().getCheckpointDir()
-    return found.get()
+from telmark.sources.store import checkpoint_folder
 
 
 def durable(df: DataFrame) -> DataFrame:

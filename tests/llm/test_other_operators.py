@@ -200,6 +200,41 @@ def test_toxicity_odd_inputs(spark, make_docs):
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels)).count() == 0
 
 
+def test_toxicity_repeated_ids_and_clashing_names(spark, make_docs):
+    rude, kind = "you stupid pathetic idiot with zorgle words, " * 5, "a calm and friendly note about gardens " * 5
+    rows = [(i, rude if i % 4 == 0 else kind) for i in range(400)] + [(8, rude)] * 50 + [(8, kind)]
+    labels = spark.createDataFrame([(i, 0, int(i % 4 == 0)) for i in range(400)] + [(8, 0, 0), (None, 0, 1), (5, 0, None)], "doc_id long, quality int, toxic int")
+    docs = make_docs(rows).withColumn("toxic_score", F.lit("own"))
+    model = toxicity.fit(docs, labels)
+    out = toxicity.score(docs, model, "__score")
+    assert out.columns == [*docs.columns, "__score"]
+    got = out.collect()
+    assert len(got) == len(rows) and all((r["__score"] >= 0.5) == (r["text"] == rude) and r["toxic_score"] == "own" for r in got)
+    assert toxicity.score(docs, model).columns == docs.columns
+
+
+def test_vantage_trees_odd_ids(spark):
+    """Repeated and null ids: a null takes no part, repeats are candidates like others."""
+    rows = [(0, [1.0, 0.0]), (1, [0.9, 0.1]), (1, [0.8, 0.2]), (None, [5.0, 5.0]), (20, [0.0, 1.0])]
+    got = [(r["query_id"], r["rank"], r["vec_id"]) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, k=3).collect()]
+    assert sorted(got) == [(0, 1, 1), (0, 2, 1), (0, 3, 20), (20, 1, 1), (20, 2, 1), (20, 3, 0)]
+
+
+def test_pipeline_odd_tables(spark, make_docs, tmp_path):
+    """Every stage on an empty table, on repeated rows, and with columns of the names that stages use."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    extra = {c: F.lit("own") for c in ("toxic_score", "n_lines_before", "lost_doc_id", "kept_by")}
+    for n, rows in enumerate(([], [(1, "a few plain words here")] * 3 + [(None, "a few plain words here"), (2, None)])):
+        docs = make_docs(rows).withColumns(extra)
+        for i, (_, stage) in enumerate(pipeline.STAGES):
+            out = stage(spark, docs, str(tmp_path))
+            out.write.parquet(str(tmp_path / f"{n}-{i}"))
+            assert i == len(pipeline.STAGES) - 1 or out.columns == docs.columns
+            docs = spark.read.schema(out.schema).parquet(str(tmp_path / f"{n}-{i}"))
+        assert docs.count() == len(rows)
+
+
 def test_pipeline(spark, make_docs, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(9)

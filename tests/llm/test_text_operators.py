@@ -11,6 +11,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from telmark.llm import bpe, line_dedup, ngram_join, packing, queries, secret_scan
 from telmark.llm.text_hash import line_keys, shingle_sets, string_buffers
@@ -195,6 +196,52 @@ def test_packing(make_docs, spark):
     assert packing.pack_documents(make_docs([]), path).count() == 0
 
 
+def test_packing_combining_marks_and_repeated_rows(make_docs):
+    """Letters that compose only when small, and rows that are equal in all columns or have no id."""
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tk = Tokenizer.from_file(path)
+    texts = [f"A{m} word H̱ {a}{m}{b}, X" for m in "̱̌̈̊́" for a in "HJTWYeE" for b in ("", "s")] + ["été ẞ", "plain Text. And, more"]
+    rows = list(enumerate(texts)) + [(7, "twice")] * 3 + [(None, "no id")] * 4
+    out = packing.pack_documents(make_docs(rows), path).toPandas()
+    assert len(out) == len(rows) and out.doc_id.isna().sum() == 4
+    for i, t in enumerate(texts):
+        ids = np.array([*tk.encode(t, add_special_tokens=False).ids, 1], "<u4").tobytes()
+        assert zlib.crc32(ids) in set(out[out.doc_id == i].ids_crc32), t
+    s = out.sort_values(["sequence_id", "offset"])
+    assert (s.groupby("sequence_id")["length"].cumsum() - s["length"] == s["offset"]).all()
+
+
+def test_added_columns_do_not_clash(make_docs):
+    line = "the same long line in every document"
+    docs = make_docs([line + f"\n{i}" for i in range(4)]).withColumns({c: F.lit("own") for c in ("n_lines_before", "__doc", "__tag", "__d", "lost_doc_id")})
+    out = line_dedup.drop_lines(docs, counts=None)
+    assert out.columns == docs.columns and {r["n_lines_before"] for r in out.collect()} == {"own"}
+    counted = line_dedup.drop_lines(docs).collect()
+    assert sum(r["n_lines_dropped"] for r in counted) == 3 and {r["__doc"] for r in counted} == {"own"}
+    kept = ngram_join.keep_one(docs, k=2, percent=50)
+    assert kept.columns == docs.columns and kept.count() == 1
+
+
+def test_one_queue_for_many_pretokens_equals_one_for_each():
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    c = bpe.Codec(path, public_tokenizers.PATTERN)
+    rng = random.Random(8)
+    pieces = [bytes(rng.choices(b"aeinrst hu\xc3\xa9", k=rng.randint(1, 60))) for _ in range(3000)] + [b"a" * n for n in range(1, 64)] + [b"-" * 63, b"ababab" * 10]
+    want = [np.array(c.long.merge(p), "<u4").tobytes() for p in pieces]
+    assert c.many.merge(pieces) == want
+
+
+def test_bpe_nulls_and_empty_table(make_docs):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = [(None, "some text"), (1, None), (1, "some text"), (2, ""), (3, "  two  spaces    wide\x1c \n\n end ")]
+    out = bpe.round_trip(make_docs(rows), path, public_tokenizers.PATTERN).collect()
+    assert len(out) == 5 and {r["n_tokens"] for r in out if r["doc_id"] in (None, 2)} == {2, 0}
+    assert {r["decoded_sha256"] for r in out} == {hashlib.sha256((t or "").encode()).hexdigest() for _, t in rows}
+    assert bpe.round_trip(make_docs([]), path, public_tokenizers.PATTERN).count() == 0
+
+
 def test_minimum_slack_fills_bins():
     lengths = np.array([6, 5, 4, 3, 2, 1, 9, 7, 3])
     bins = packing.minimum_slack(lengths, 10)
