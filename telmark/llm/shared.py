@@ -41,7 +41,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, task_rows: int
     def stars(e: DataFrame, large: bool, tasks: int) -> DataFrame:
         both = e if not large else e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        j = both.join(low, "a")
+        # Both sides are dealt by a already; a broadcast a step would pile up in the executors' memory.
+        j = both.join(low.hint("merge"), "a")
         if large:
             out = j.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         else:
