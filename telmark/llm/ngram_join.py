@@ -484,8 +484,10 @@ def near_duplicate_components(docs: DataFrame, k: int = 5, percent: int = 80) ->
     comp = durable(connected_components(edges))
     for mode in ("best", "every"):
         more = durable(_linked(_pairs(members, points, comp, percent, mode), classes, live, k, percent))
-        edges = edges.unionByName(more)
-        comp = durable(connected_components(edges))
+        if not more.isEmpty():
+            # The stars found so far connect the same classes as all links before.
+            stars = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            comp = durable(connected_components(stars.unionByName(more)))
     rooted = classes.select("rep", "doc").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "doc", F.coalesce("component", "rep").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("least"))
     labels = rooted.join(least, "root").select("rep", "least")
