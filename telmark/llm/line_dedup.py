@@ -87,7 +87,7 @@ def _stream_runs(min_docs: int):
             edge = np.zeros(len(h1), bool)
             if edge_key == (int(h1[0]), int(h2[0])):
                 edge |= of == 0
-            if last.sum() > RUN_ROWS and docs[-1] >= min_docs:
+            if last.sum() > RUN_ROWS:
                 edge |= last
             if edge[-1]:
                 edge_key, held = (int(h1[-1]), int(h2[-1])), None

@@ -10,6 +10,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,26 @@ def test_line_dedup_long_runs_and_repeats(make_docs, monkeypatch):
     assert sum(line in (r["text"] or "").split("\n") for r in out) == 2
 
 
+def test_line_dedup_passes_on_a_long_run_of_one_document(monkeypatch):
+    monkeypatch.setattr(line_dedup, "RUN_ROWS", 50)
+    names = ["h1", "h2", "doc", "tag", "pos", "n_lines"]
+
+    def batches():
+        yield pa.RecordBatch.from_arrays([pa.array([1]), pa.array([1]), pa.array([1]), pa.array([1]), pa.array([0], pa.int32()), pa.array([1], pa.int32())], names=names)
+        for at in range(0, 1000, 10):
+            same = pa.array(np.full(10, 7, np.int64))
+            yield pa.RecordBatch.from_arrays([same, same, same, same, pa.array(np.arange(at, at + 10, dtype=np.int32)), pa.array(np.full(10, 1000, np.int32))], names=names)
+
+    seen = 0
+    for n, out in enumerate(line_dedup._stream_runs(3)(batches())):
+        own = out.filter(pa.compute.equal(out.column("h1"), 7))
+        assert own.column("edge").to_pylist() == [1] * own.num_rows
+        seen += own.num_rows
+        # Two results a batch; no more than the limit and one batch is held back.
+        assert seen >= min(1000, 10 * (n // 2)) - 70
+    assert seen == 1000
+
+
 def test_line_dedup_empty(make_docs):
     assert line_dedup.drop_lines(make_docs([])).count() == 0
 
