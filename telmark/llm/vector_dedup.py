@@ -5,7 +5,7 @@ classes of a label are ordered lexicographically by concatenated random hyperpla
 each is compared with its neighbours in a bounded window; only pairs whose exact cosine reaches
 the threshold are united, across all passes. Windows miss some pairs, so an exact search follows
 for links between components: the classes of a label are packed into blocks in the order of the
-first pass, and block pairs meet in a nested loop, without those of one component and those whose
+first pass, and blocks meet in a join by label and pair of cells, without those of one component and those whose
 balls lie too far apart. Then all pairs inside each component are compared, in blocks, so components
 and numbers of links are exact. Pairs are counted, never listed. The exact search grows with
 the square of a label's classes where balls rule nothing out.
@@ -164,15 +164,19 @@ def _missed_links(members: DataFrame, codes: DataFrame, threshold: float, parts:
     order = ["label", "dim", "code", "rep"]
     packs = rows.select(*order, "comp", "embedding").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     packs = durable(packs.mapInArrow(_pack, "id long, label long, dim int, one long, center array<double>, radius double, reps binary, comps binary, vectors binary"))
-    # Few blocks a partition, since the nested loop holds a partition of one side.
-    packs = durable(packs.repartition(max(1, -(-packs.count() // PACKS_IN_TASK))))
-    other = packs.select(*[F.col(c).alias(c + "2") for c in packs.columns])
+    # A label's blocks are dealt to cells of about PACKS_IN_TASK; two cells are a key of the join, so a hot label has many keys.
+    hot = packs.groupBy("label", "dim").agg(F.count("*").alias("c")).filter(F.col("c") > PACKS_IN_TASK).select("label", "dim", F.ceil(F.col("c") / PACKS_IN_TASK).cast("int").alias("cells"))
+    packs = packs.join(hot, ["label", "dim"], "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
+    packs = packs.withColumn("cell", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
+    own = ["id", "one", "center", "radius", "reps", "comps", "vectors"]
+    left = packs.select("label", "dim", F.col("cell").alias("i"), F.explode(F.sequence("cell", F.col("cells") - 1)).alias("j"), *own)
+    right = packs.select("label", "dim", F.explode(F.sequence(F.lit(0), "cell")).alias("i"), F.col("cell").alias("j"), *[F.col(c).alias(c + "2") for c in own])
     gap = F.sqrt(F.aggregate(F.zip_with("center", "center2", lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, v: s + v))
     far = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
-    # Written without equalities of both sides, which would make it a join by label and put a label in one task.
-    same = (F.col("label") - F.col("label2") == 0) & (F.col("dim") - F.col("dim2") == 0)
-    open_ = F.coalesce(F.col("one") - F.col("one2") != 0, F.lit(True))
-    pairs = packs.join(other, same & (F.col("id") <= F.col("id2")) & open_ & (gap <= F.col("radius") + F.col("radius2") + F.lit(far)))
+    # A block meets those of other cells, and of its own cell each once.
+    once = (F.col("i") < F.col("j")) | (F.col("id") <= F.col("id2"))
+    open_ = F.coalesce(F.col("one") != F.col("one2"), F.lit(True))
+    pairs = left.join(right, ["label", "dim", "i", "j"]).filter(once & open_ & (gap <= F.col("radius") + F.col("radius2") + F.lit(far)))
     return pairs.select("dim", "reps", "comps", "vectors", "reps2", "comps2", "vectors2").mapInArrow(_between(threshold), "a long, b long")
 
 
