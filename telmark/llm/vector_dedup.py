@@ -4,8 +4,8 @@ Equal vectors with equal labels are first joined into one class with a count. In
 classes of a label are ordered lexicographically by concatenated random hyperplane bits, and
 each is compared with its neighbours in a bounded window; only pairs whose exact cosine reaches
 the threshold are united, across all passes. Windows miss some pairs, so an exact search follows
-for links between components: the classes of a label are packed into blocks in the order of the
-first pass, and blocks meet in a join by label and pair of cells, without those of one component and those whose
+for links between components: the classes of a label are packed into blocks in the order of a
+projection, and blocks meet in a join by label and pair of cells, without those of one component and those whose
 balls lie too far apart. Then all pairs inside each component are compared, in blocks, so components
 and numbers of links are exact. Pairs are counted, never listed. The exact search grows with
 the square of a label's classes where balls rule nothing out.
@@ -160,7 +160,7 @@ def _between(threshold: float):
 def _missed_links(members: DataFrame, codes: DataFrame, threshold: float, parts: int) -> DataFrame:
     """Links between classes of different components, at least one for each two components that have any in a block pair."""
     comp = members.withColumnRenamed("node", "rep")
-    rows = codes.filter("pass = 0").join(comp, "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
+    rows = codes.join(comp, "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
     order = ["label", "dim", "code", "rep"]
     packs = rows.select(*order, "comp", "embedding").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     packs = durable(packs.mapInArrow(_pack, "id long, label long, dim int, one long, center array<double>, radius double, reps binary, comps binary, vectors binary"))
@@ -214,12 +214,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, passes: int = 8
     keyed = rows.withColumn("ok", ok).withColumns({"k1": F.xxhash64("label", "embedding"), "k2": F.xxhash64("embedding", F.lit(1), "label")})
     classes = keyed.filter("ok").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     classes = durable(classes.withColumn("dim", F.size("embedding")))
-    codes = classes.select("rep", "label", "dim", "embedding").mapInArrow(_project(passes, seed), "pass int, label long, dim int, code long, rep long, embedding array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "pass int, label long, dim int, code long, rep long, embedding array<double>")
+    items = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
+    project = lambda n: classes.select("rep", "label", "dim", "embedding").mapInArrow(_project(n, seed), f"pass int, label long, dim int, code long, rep long, embedding array<{items}>")
     order = ["pass", "label", "dim", "code", "rep"]
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    edges = codes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_windows(threshold), "a long, b long")
+    edges = project(passes).repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_windows(threshold), "a long, b long")
     members = durable(connected_components(edges))
-    missed = durable(_missed_links(members, codes, threshold, parts))
+    missed = durable(_missed_links(members, project(1), threshold, parts))
     if not missed.isEmpty():
         members = durable(connected_components(members.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(missed)))
     sizes = members.groupBy("component").agg(F.count("*").alias("size")).filter("size > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
