@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telmark.llm import ann, bpe, line_dedup, ngram_join, packing, secret_scan, sharding, toxicity, url_filter, vector_dedup
+from telmark.llm import ann, bpe, line_dedup, merkle, ngram_join, packing, secret_scan, sharding, toxicity, url_filter, vector_dedup
 from telmark.llm.shared import table
 
 
@@ -117,9 +119,52 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    leaf = lambda text: merkle.leaf_digest(*map(F.col, ("doc_id", "source", "lang", "n_chars")), text)
+    fifth = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    docs = docs.withColumn("tampered", F.when(fifth, leaf(F.translate("text", string.ascii_uppercase, string.ascii_lowercase))))
+    out = merkle.manifest(docs, F.col("source"), F.col("doc_id"), leaf(F.col("text")), ["doc_id", "tampered"])
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    out = out.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def _op11_tree(name: str, source: str, levels: int = 6) -> str:
+    """CTEs that fold ``(g, i, h)`` to the top, 16 nodes a run, and each leaf's siblings and folded ``bad`` digest. 16 ** levels leaves at most."""
+    over = "PARTITION BY g, i // 16 ORDER BY i ROWS BETWEEN"
+    parts, n = [f"{name}n0 AS (SELECT g, i, h FROM {source})"], name
+    for k in range(levels):
+        parts.append(f"""{n}s{k} AS (SELECT g, i, h, count(*) OVER (PARTITION BY g) AS m, coalesce(string_agg(h, '') OVER ({over} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, coalesce(string_agg(h, '') OVER ({over} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {n}n{k})""")
+        parts.append(f"{n}n{k + 1} AS (SELECT g, i // 16 AS i, CASE WHEN any_value(m) > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE any_value(h) END AS h FROM {n}s{k} GROUP BY g, i // 16)")
+    parts.append(f"{n}p0 AS (SELECT g, i AS leaf_i, i, bad, '' AS proof FROM {source})")
+    for k in range(levels):
+        parts.append(f"{n}p{k + 1} AS (SELECT p.g, leaf_i, p.i // 16 AS i, CASE WHEN m > 1 THEN sha256(l || bad || r) ELSE bad END AS bad, CASE WHEN m > 1 THEN proof || l || r ELSE proof END AS proof FROM {n}p{k} p JOIN {n}s{k} s ON p.g IS NOT DISTINCT FROM s.g AND p.i = s.i)")
+    return ",\n".join([*parts, f"{n}top AS (SELECT g, h FROM {n}n{levels})", f"{n}proof AS (SELECT g, leaf_i AS i, bad, proof FROM {n}p{levels})"])
+
+
+_OP11_LEAF = " || ".join(f"coalesce(strlen({c}) || ':' || {c}, '-')" for c in ("CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)"))
+#: CRC-32 bit by bit: each character is followed by eight shifts, written as -1.
+_OP11_CRC = "xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: [CAST(ord(x) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"
+OP11_SQL = f"""
+WITH d AS (
+  SELECT doc_id, source, sha256({_OP11_LEAF} || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256({_OP11_LEAF} || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered, {_OP11_CRC} AS crc FROM documents
+), a AS (
+  SELECT doc_id, source AS g, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, leaf AS h, CASE WHEN crc % 5 = 0 THEN lowered ELSE leaf END AS bad FROM d
+), {_op11_tree("a", "a")}, b AS (
+  SELECT true AS g, row_number() OVER (ORDER BY encode(g) NULLS FIRST) - 1 AS i, g AS source, h, h AS bad FROM atop
+), {_op11_tree("b", "b")}, u AS (
+  SELECT b.source, b.i, b.h AS subroot, p.proof, (SELECT h FROM btop) AS root FROM b JOIN bproof p ON b.i = p.i
+), f0 AS (
+  SELECT a.doc_id, a.h AS leaf, u.subroot, u.root, p.proof || u.proof AS proof, p.bad AS acc, u.i AS i FROM a JOIN aproof p ON a.g IS NOT DISTINCT FROM p.g AND a.i = p.i JOIN u ON u.source IS NOT DISTINCT FROM a.g
+), """ + ", ".join(f"f{k + 1} AS (SELECT f.doc_id, leaf, subroot, root, proof, CASE WHEN m > 1 THEN sha256(l || acc || r) ELSE acc END AS acc, f.i // 16 AS i FROM f{k} f JOIN bs{k} s ON f.i = s.i)" for k in range(6)) + """
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = root AS verified FROM f6
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_language_model, op2_vantage_point_trees, op3_min_bin_slack, op4_sorted_projections, op5_weak_supervision, op6_secret_scan, op7_ngram_jaccard, op8_hypergeometric_shards, op9_line_dedup, op10_bpe)}
+    return {f.__name__: f for f in (op1_url_language_model, op2_vantage_point_trees, op3_min_bin_slack, op4_sorted_projections, op5_weak_supervision, op6_secret_scan, op7_ngram_jaccard, op8_hypergeometric_shards, op9_line_dedup, op10_bpe, op11_merkle_manifest)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sorted_projections": OP4_SQL, "op7_ngram_jaccard": OP7_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op4_sorted_projections": OP4_SQL, "op7_ngram_jaccard": OP7_SQL, "op9_line_dedup": OP9_SQL, "op11_merkle_manifest": OP11_SQL}
