@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telmark.llm import ann, bpe, line_dedup, merkle, ngram_join, packing, secret_scan, sharding, toxicity, url_filter, vector_dedup
+from telmark.llm import ann, bpe, centroids, line_dedup, merkle, ngram_join, packing, secret_scan, sharding, toxicity, url_filter, vector_dedup
 from telmark.llm.shared import table
 
 
@@ -162,9 +162,33 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, acc AS folded
 """
 
 
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, found = centroids.cluster(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), k=16, rounds=3, dimensions=64, scale=64, salt="1:")
+    return centroids.with_inertia(assigned, found).select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _op12_sql(rounds: int = 3) -> str:
+    near = lambda c: f"SELECT e, arg_min(k, (d, k)) AS k, min(d) AS d FROM (SELECT v.e, c.k, sum((v.x - c.x) * (v.x - c.x)) AS d FROM v JOIN {c} c ON v.i = c.i GROUP BY v.e, c.k) q GROUP BY e"
+    parts = [
+        "w AS (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS e, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS HUGEINT)) AS z FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        "v AS (SELECT e, unnest(z) AS x, generate_subscripts(z, 1) AS i FROM w)",
+        "c0 AS (SELECT k, unnest(z) AS x, generate_subscripts(z, 1) AS i FROM (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, z) - 1 AS k, z FROM w) q WHERE k < 16)",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} AS ({near(f'c{r}')})")
+        parts.append(f"m{r} AS (SELECT a.k, v.i, (sum(v.x) - ((sum(v.x) % count(*)) + count(*)) % count(*)) // count(*) AS x FROM a{r} a JOIN v USING (e) GROUP BY a.k, v.i)")
+        parts.append(f"c{r + 1} AS (SELECT c.k, c.i, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m ON c.k = m.k AND c.i = m.i)")
+    parts.append(f"f AS ({near(f'c{rounds}')})")
+    parts.append(f"s AS (SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY i)) AS sha FROM c{rounds} GROUP BY k)")
+    return "WITH " + ",\n".join(parts) + "\nSELECT w.vec_id, CAST(f.k AS INTEGER) AS cluster, CAST(f.d AS BIGINT) AS distance, CAST(sum(f.d) OVER (PARTITION BY f.k) AS BIGINT) AS cluster_inertia, CAST(sum(f.d) OVER () AS BIGINT) AS inertia, s.sha AS centroid_sha256 FROM f JOIN w USING (e) JOIN s ON s.k = f.k"
+
+
+OP12_SQL = _op12_sql()
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_language_model, op2_vantage_point_trees, op3_min_bin_slack, op4_sorted_projections, op5_weak_supervision, op6_secret_scan, op7_ngram_jaccard, op8_hypergeometric_shards, op9_line_dedup, op10_bpe, op11_merkle_manifest)}
+    return {f.__name__: f for f in (op1_url_language_model, op2_vantage_point_trees, op3_min_bin_slack, op4_sorted_projections, op5_weak_supervision, op6_secret_scan, op7_ngram_jaccard, op8_hypergeometric_shards, op9_line_dedup, op10_bpe, op11_merkle_manifest, op12_centroid_clustering)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sorted_projections": OP4_SQL, "op7_ngram_jaccard": OP7_SQL, "op9_line_dedup": OP9_SQL, "op11_merkle_manifest": OP11_SQL}
+    return {"op4_sorted_projections": OP4_SQL, "op7_ngram_jaccard": OP7_SQL, "op9_line_dedup": OP9_SQL, "op11_merkle_manifest": OP11_SQL, "op12_centroid_clustering": OP12_SQL}
