@@ -7,7 +7,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telmark.llm import ann, bpe, centroids, line_dedup, merkle, ngram_join, packing, secret_scan, sharding, toxicity, url_filter, vector_dedup
+from telmark.llm import ann, bpe, centroids, line_dedup, merkle, ngram_join, packing, secret_scan, sharding, toxicity, url_filter, vector_dedup, window_packing
 from telmark.llm.shared import table
 
 
@@ -186,8 +186,12 @@ def _op12_sql(rounds: int = 3) -> str:
 OP12_SQL = _op12_sql()
 
 
+def op13_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return window_packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("word_bpe_49k.json"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_url_language_model, op2_vantage_point_trees, op3_min_bin_slack, op4_sorted_projections, op5_weak_supervision, op6_secret_scan, op7_ngram_jaccard, op8_hypergeometric_shards, op9_line_dedup, op10_bpe, op11_merkle_manifest, op12_centroid_clustering)}
+    return {f.__name__: f for f in (op1_url_language_model, op2_vantage_point_trees, op3_min_bin_slack, op4_sorted_projections, op5_weak_supervision, op6_secret_scan, op7_ngram_jaccard, op8_hypergeometric_shards, op9_line_dedup, op10_bpe, op11_merkle_manifest, op12_centroid_clustering, op13_nnls_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
