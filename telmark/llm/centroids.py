@@ -179,10 +179,10 @@ def with_inertia(assigned: DataFrame, centroids: np.ndarray) -> DataFrame:
     path = f"{checkpoint_folder(assigned.sparkSession)}/clusters-{uuid.uuid4().hex}"
     assigned.write.parquet(path)
     rows = assigned.sparkSession.read.schema(assigned.schema).parquet(path)
-    whole = F.sum(F.col("distance").cast("decimal(38,0)"))
-    sums = {r["cluster"]: int(r["s"]) for r in rows.groupBy("cluster").agg(whole.alias("s")).collect() if r["s"] is not None}
-    fits = lambda x: x if x < 1 << 63 else None
-    total = fits(sum(sums.values()))
+    whole = F.when(F.count("distance") == F.count("*"), F.sum(F.col("distance").cast("decimal(38,0)")))
+    sums = {r["cluster"]: r["s"] for r in rows.groupBy("cluster").agg(whole.alias("s")).collect()}
+    fits = lambda x: int(x) if x is not None and x < 1 << 63 else None
+    total = fits(None if None in sums.values() else sum(sums.values()))
     table = [(i, fits(sums.get(i, 0)), total, centroid_digest(c)) for i, c in enumerate(centroids)]
     dim = assigned.sparkSession.createDataFrame(table, "cluster int, cluster_inertia long, inertia long, centroid_sha256 string")
     return rows.join(F.broadcast(dim), "cluster")
