@@ -5,6 +5,8 @@ import bz2
 import gzip
 import hashlib
 import random
+import re
+import time
 import urllib.parse
 import zlib
 from collections import Counter
@@ -388,3 +390,83 @@ def test_damaged_compressed_data_is_reported():
     data = bytearray(bz2.compress(random.Random(1).randbytes(3000)))
     data[1500:1600] = bytes(100)
     assert "bomb" in {f[0] for f in secret_scan.scan_text(base64.b64encode(bytes(data)).decode())}
+
+
+WRAPPED = b"x password = hunter2hunter2hunter2 and so on"
+
+
+@pytest.mark.parametrize("text", [
+    f"https://x.io/a/{base64.b64encode(WRAPPED).decode()}", f"w{base64.b64encode(WRAPPED).decode()}", f"wo{base64.b64encode(WRAPPED).decode()}", f"wor{base64.b64encode(WRAPPED).decode()}", f"path/{base64.b64encode(gzip.compress(WRAPPED)).decode()}",
+    base64.b64encode(WRAPPED.decode().encode("utf-16-le")).decode(), base64.b64encode(WRAPPED.decode().encode("utf-16-be")).decode(), "\\U00000070assword=hunter2hunter2hunter2", base64.b64encode(zlib.compress(WRAPPED)[2:-4]).decode(),
+    base64.encodebytes(b"lorem ipsum dolor sit amet consectetur a" + WRAPPED + b" tail" * 30).decode(), base64.encodebytes(b"lorem ipsum dolor sit amet consectetur a" + WRAPPED + b" tail" * 30).decode().replace("\n", "\\n"),
+    base64.encodebytes(b"lorem ipsum dolor sit amet consectetur a" + WRAPPED + b" tail" * 30).decode().replace("\n", "\r\n  "),
+], ids=["slash", "glued 1", "glued 2", "glued 3", "compressed after a slash", "utf-16-le", "utf-16-be", "capital U", "raw deflate", "lines", "written lines", "indented lines"])
+def test_secrets_in_places_of_base64(text):
+    assert "assign" in {f[0] for f in secret_scan.scan_text(text)}
+    left = secret_scan.redact(text)
+    assert left.startswith(text[:2]) or left.startswith("[SECRET]")
+    assert not secret_scan.scan_text(left) and len(left) < 40
+
+
+@pytest.mark.parametrize("text", ["%" + "25" * 100_000 + "70assword=hunter2hunter2", "\\u005c" + "u005c" * 20_000 + "u0070assword=hunter2hunter2", "&#38;" + "#38;" * 30_000 + "#112;assword=hunter2hunter2", "%2" + "%3" * 50_000 + "%3570assword=hunter2hunter2"], ids=["percent", "unicode", "numeric", "digits"])
+def test_deep_escapes_are_reduced_at_once(text):
+    start = time.perf_counter()
+    assert ("assign", 0, len(text)) in {f[:3] for f in secret_scan.scan_text(text)}
+    assert time.perf_counter() - start < 5
+
+
+def test_deep_escapes_through_spark(make_docs):
+    rows = [(1, "%" + "25" * 1002 + "41"), (2, ("%" + "25" * 400 + "70assword=hunter2hunter2 ") * 20), (2, "x"), (2, "x")]
+    out = {r["doc_id"]: r["text"] for r in secret_scan.redact_documents(make_docs(rows)).collect() if r["text"] != "x"}
+    assert "hunter2" not in out[2] and secret_scan.scan(make_docs(rows)).count() == 4
+    assert secret_scan.scan(make_docs([])).count() == 0
+
+
+def _percent(t):
+    return "".join(f"%{b:02x}" for b in t.encode())
+
+
+NESTS = [
+    _percent, lambda t: t.replace("a", "%61").replace("=", "%3D"), lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"\\x{b:02x}" for b in t.encode()), lambda t: "".join(f"&#{ord(c)};" for c in t),
+    lambda t: base64.b64encode(t.encode()).decode(), lambda t: base64.urlsafe_b64encode(t.encode()).decode().rstrip("="), lambda t: base64.encodebytes(t.encode()).decode(), lambda t: base64.b64encode(gzip.compress(t.encode())).decode(),
+    lambda t: base64.b64encode(bz2.compress(t.encode())).decode(), lambda t: f"x/y{base64.b64encode(t.encode()).decode()}", lambda t: base64.b64encode(t.encode("utf-16-le")).decode(), lambda t: f"say {t} now",
+]
+
+
+def unwrapped(text, depth=0):
+    """All that plain decoding of a text gives, by brute force over its stretches."""
+    out = [text]
+    if depth > 12 or len(out) > 10_000:
+        return out
+    new = [urllib.parse.unquote(text), re.sub(r"\\u([0-9a-f]{4})|\\x([0-9a-f]{2})|&#(\d+);", lambda m: chr(int(m[1] or m[2], 16) if m[1] or m[2] else int(m[3])), text)]
+    for run in re.findall(r"[A-Za-z0-9+/_-]{16,}=*", text) + [x.replace("\n", "") for x in re.findall(r"(?:[A-Za-z0-9+/]+\n)+[A-Za-z0-9+/]*=*", text)]:
+        for at in range(4):
+            part = run.rstrip("=")[at:].replace("-", "+").replace("_", "/")
+            try:
+                raw = base64.b64decode(part + "=" * (-len(part) % 4), validate=True)
+            except ValueError:
+                continue
+            for f in (bytes, gzip.decompress, bz2.decompress):
+                for code in ("utf-8", "utf-16-le"):
+                    try:
+                        new.append(f(raw).decode(code))
+                    except (ValueError, OSError, EOFError):
+                        pass
+    for t in set(new) - {text}:
+        out += unwrapped(t, depth + 1)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_random_nests_against_brute_force(seed):
+    rng = random.Random(seed)
+    text = "token = abcdefgh12345678"
+    for _ in range(rng.randrange(1, 6)):
+        text = rng.choice(NESTS)(text)
+        if len(text) > 4000:
+            break
+    text = f"first {text} last"
+    assert any("token = abcdefgh12345678" in t for t in unwrapped(text))
+    assert any(k == "assign" for k, *_ in secret_scan.scan_text(text))
+    left = secret_scan.redact(text)
+    assert left.startswith("first ") and not any("abcdefgh1234" in t for t in unwrapped(left))
