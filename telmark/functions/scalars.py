@@ -161,7 +161,7 @@ def payload_semantics(record_type: Column, payload: Column) -> Column:
     v = F.try_parse_json(payload)
     kind_of = lambda key: variant_type(F.try_variant_get(v, f"$.{key}", "variant"))
     text_of = lambda key: F.try_variant_get(v, f"$.{key}", "string")
-    sources = sorted({(s, k) for t in C.RECORD_TYPES for _, s, k in C.payload_fields(t)})
+    sources = sorted({(s, C.PAYLOAD_KINDS.get(c, "string")) for t in C.RECORD_TYPES for c, s in C.PAYLOAD_CATALOG[t].items()})
     valid = {}
     for source, kind in sources:
         t, s = kind_of(source), text_of(source)
@@ -174,17 +174,15 @@ def payload_semantics(record_type: Column, payload: Column) -> Column:
         valid[source] = t.isNull() | F.coalesce(good, F.lit(False))
     bad, columns = F.lit(False), {c: F.lit(None).cast("string") for c in C.SEMANTIC_COLUMNS}
     for rt in C.RECORD_TYPES:
-        fields = C.payload_fields(rt)
         wrong = F.lit(False)
-        for _, source, _ in fields:
+        for source in C.PAYLOAD_CATALOG[rt].values():
             wrong = wrong | ~valid[source]
         bad = F.when(record_type == rt, wrong).otherwise(bad)
     for c in C.SEMANTIC_COLUMNS:
         by_source: dict[str, list[str]] = {}
         for rt in C.RECORD_TYPES:
-            for target, source, _ in C.payload_fields(rt):
-                if target == c:
-                    by_source.setdefault(source, []).append(rt)
+            if c in C.PAYLOAD_CATALOG[rt]:
+                by_source.setdefault(C.PAYLOAD_CATALOG[rt][c], []).append(rt)
         expr = F.lit(None).cast("string")
         for source, types in by_source.items():
             expr = F.when(record_type.isin(types), text_of(source)).otherwise(expr)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telmark.functions import scalars as S
-from telmark.sources.store import stored
+from telmark.sources.store import discard, stored
 
 REVISION, TERMINAL, SEQUENCE = "SMPP_PROVIDER_REVISION_CONFLICT", "SMPP_PROVIDER_TERMINAL_CONFLICT", "SMPP_PROVIDER_EVENT_SEQUENCE_CONFLICT"
 OUT_OF_ORDER, GAP = "SMPP_PROVIDER_EVENT_OUT_OF_ORDER", "SMPP_PROVIDER_EVENT_SEQUENCE_GAP"
@@ -72,8 +72,11 @@ def _order_reason(applies: Column) -> Column:
     return F.when(applies & (seq < top), OUT_OF_ORDER).when(applies & (seq > top + 1), GAP)
 
 
+SEEDS = {"_h_record": "string", "_h_revision": "string", "_h_terminal": "string", "_h_sequence": "string", "_h_top": "bigint"}
+
+
 def _judged(rows: DataFrame, record_key: list[str], order: str) -> DataFrame:
-    """W2 and W4 to W6 for every row against those before it for which ``_accepted`` holds.
+    """W2 and W4 to W6 for every row against what was accepted earlier (``SEEDS``) and the rows before it for which ``_accepted`` holds.
 
     Adds the known hash of the record id, the blocking code, the largest sequence before, and ``_next``: whether the row would be accepted.
     """
@@ -83,23 +86,24 @@ def _judged(rows: DataFrame, record_key: list[str], order: str) -> DataFrame:
     def evidence(c: str) -> Column:
         return F.when(F.col("_accepted"), F.col(c))
 
-    def clash(c: str, *keys: str) -> Column:
-        w = before(*keys)
-        return F.coalesce((F.min(evidence(c)).over(w) != F.col(c)) | (F.max(evidence(c)).over(w) != F.col(c)), F.lit(False))
+    def clash(c: str, seed: str, *keys: str) -> Column:
+        w, other = before(*keys), lambda x: F.coalesce(x != F.col(c), F.lit(False))
+        return other(F.min(evidence(c)).over(w)) | other(F.max(evidence(c)).over(w)) | other(F.col(seed))
 
     has = F.col("identity").isNotNull()
     # One exchange by identity serves its three windows.
     out = rows.withColumn("_who", identity_or_own()).repartition("_who")
-    out = out.withColumn("_revision", has & F.col("revision").isNotNull() & clash("record_hash", "_who", "revision"))
-    out = out.withColumns({"_terminal": has & clash("terminal", "_who"), "_top": F.max(evidence("provider_event_sequence")).over(before("_who"))})
-    out = out.withColumn("_sequence", has & F.col("provider_event_sequence").isNotNull() & clash("record_hash", "_who", "provider_event_sequence"))
-    out = out.withColumn("_known", F.first(evidence("record_hash"), ignorenulls=True).over(before(*record_key)))
+    out = out.withColumn("_revision", has & F.col("revision").isNotNull() & clash("record_hash", "_h_revision", "_who", "revision"))
+    top = F.greatest("_h_top", F.max(evidence("provider_event_sequence")).over(before("_who")))
+    out = out.withColumns({"_terminal": has & clash("terminal", "_h_terminal", "_who"), "_top": top})
+    out = out.withColumn("_sequence", has & F.col("provider_event_sequence").isNotNull() & clash("record_hash", "_h_sequence", "_who", "provider_event_sequence"))
+    out = out.withColumn("_known", F.coalesce("_h_record", F.first(evidence("record_hash"), ignorenulls=True).over(before(*record_key))))
     code = F.when(F.col("_revision"), REVISION).when(F.col("_terminal"), TERMINAL).when(F.col("_sequence"), SEQUENCE)
     out = out.withColumn("_code", F.when(F.col("_known").isNull(), code))
-    return out.withColumn("_next", F.col("_valid") & F.col("_known").isNull() & F.col("_code").isNull())
+    return out.withColumn("_next", F.col("_known").isNull() & F.col("_code").isNull())
 
 
-def assess(records: DataFrame, valid: Column | None = None, order: str = "arrival_seq") -> DataFrame:
+def assess(records: DataFrame, valid: Column | None = None, order: str = "arrival_seq", seeds: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """W2 and W8 together, exactly as if records were judged one by one in arrival order; a blocked record leaves no trace.
 
     Adds ``outcome`` (duplicate, conflict, semantic_conflict, not_applicable, accepted_with_quality_issue, accepted;
@@ -107,26 +111,43 @@ def assess(records: DataFrame, valid: Column | None = None, order: str = "arriva
     record is depends on which ones before it were accepted, so windows are worked to a fixpoint: the more are taken
     for accepted, the fewer are accepted next. Every second round therefore bounds the accepted ones from above and every
     other from below, and where two rounds agree they are exact. Two rounds are enough unless blocked records are
-    the only evidence against others; each further one settles a step of such a chain. Records are written once and read back.
+    the only evidence against others; each further one settles a step of such a chain.
+
+    Records are written once and read back; rows that are not valid take no part in any exchange. Only columns that a caller
+    reads meet the verdicts, by row. ``seeds`` adds what earlier batches accepted (``SEEDS``) to the valid rows, see ``history``.
     """
     record_key = [c for c in ("source_system", "record_id") if c in records.columns]
     ok = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
     base = stored(records.withColumns({"_row": F.monotonically_increasing_id(), "_valid": ok}), "records")
-    used = list(dict.fromkeys(["_row", "_valid", order, *record_key, "record_hash", "identity", "revision", "terminal", "provider_event_sequence"]))
-    rows = base.select(*used, F.col("_valid").alias("_accepted"))
+    used = list(dict.fromkeys(["_row", order, *record_key, "record_hash", "identity", "revision", "terminal", "provider_event_sequence"]))
+    rows = base.filter("_valid").select(used)
+    if seeds is not None:
+        rows = seeds(rows)
+    rows = rows.withColumns({c: F.lit(None).cast(kind) for c, kind in SEEDS.items() if c not in rows.columns})
+    if seeds is not None:
+        rows = stored(rows, "seeded")
+    used += SEEDS
+    taken, verdict = rows.withColumn("_accepted", F.lit(True)), None
     while True:
-        once = _judged(rows, record_key, order).select(*used, F.col("_next").alias("_accepted"))
-        verdict = stored(_judged(once, record_key, order).select("_row", "_accepted", "_next", "_known", "_code", "_top"), "verdicts")
+        once = _judged(taken, record_key, order).select(*used, F.col("_next").alias("_accepted"))
+        last, verdict = verdict, stored(_judged(once, record_key, order).select("_row", "_accepted", "_next", "_known", "_code", "_top"), "verdicts")
+        if last is not None:
+            discard(last)
         if verdict.filter("_accepted <> _next").isEmpty():
             break
-        rows = base.select(used).join(verdict.select("_row", F.col("_next").alias("_accepted")), "_row")
-    out = base.join(verdict.drop("_accepted"), "_row")
-    reason = _order_reason(F.col("_next") & F.col("identity").isNotNull())
-    out = out.withColumns({"accepted_hash": F.when(F.col("_valid"), F.col("_known")), "blocking_code": F.when(F.col("_valid"), F.col("_code")), "_reason": reason})
-    quality = F.when(F.col("identity").isNull(), "not_applicable").when(F.col("blocking_code").isNotNull(), "conflict").when(F.col("_reason").isNotNull(), "accepted_with_quality_issue").otherwise("accepted")
-    out = out.withColumns({"quality_status": F.when(F.col("_valid") & F.col("_known").isNull(), quality), "reason_codes": F.array_compact(F.array(F.coalesce("blocking_code", "_reason")))})
-    outcome = F.when(F.col("accepted_hash") == F.col("record_hash"), "duplicate").when(F.col("accepted_hash").isNotNull(), "conflict").when(F.col("blocking_code").isNotNull(), "semantic_conflict").otherwise(F.col("quality_status"))
-    return out.withColumn("outcome", F.when(F.col("_valid"), outcome)).drop("_row", "_valid", "_next", "_known", "_code", "_top", "_reason")
+        taken = rows.join(verdict.select("_row", F.col("_next").alias("_accepted")), "_row")
+    if seeds is not None:
+        discard(rows)
+    out = base.filter("_valid").join(verdict.drop("_accepted"), "_row")
+    reason = F.when(F.col("_next"), _order_reason(F.col("identity").isNotNull()))
+    out = out.withColumns({"accepted_hash": F.col("_known"), "blocking_code": F.col("_code"), "_reason": reason})
+    quality = F.when(F.col("identity").isNull(), "not_applicable").when(F.col("_code").isNotNull(), "conflict").when(F.col("_reason").isNotNull(), "accepted_with_quality_issue").otherwise("accepted")
+    out = out.withColumns({"quality_status": F.when(F.col("_known").isNull(), quality), "reason_codes": F.array_compact(F.array(F.coalesce("_code", "_reason")))})
+    outcome = F.when(F.col("_known") == F.col("record_hash"), "duplicate").when(F.col("_known").isNotNull(), "conflict").when(F.col("_code").isNotNull(), "semantic_conflict").otherwise(F.col("quality_status"))
+    out = out.withColumn("outcome", outcome).drop("_row", "_valid", "_next", "_known", "_code", "_top", "_reason")
+    none = F.lit(None).cast("string")
+    rest = base.filter("NOT _valid").drop("_row", "_valid").withColumns({"accepted_hash": none, "blocking_code": none, "quality_status": none, "reason_codes": F.array().cast("array<string>"), "outcome": none})
+    return out.unionByName(rest)
 
 
 class DictStore:

@@ -97,3 +97,12 @@ def dead_letters(df: DataFrame, error: Column, now: Column) -> tuple[DataFrame,
         F.col("_error").alias("error_code"), F.substring("_error", 1, 256).alias("error_summary"), now.alias("created_at"), F.lit(None).cast("timestamp").alias("resolved_at"),
     )
     return marked.filter("_error IS NULL").drop("_error"), bad
+
+
+def unknown_schema(records: DataFrame, now: Column) -> DataFrame:
+    """Dead letters of records that no normalizer takes."""
+    code = F.lit("SCHEMA_VERSION_UNSUPPORTED")
+    return records.select(
+        S.uuid_v5(F.concat_ws("|", F.lit("dlq"), F.col("record_id"), code)).alias("dlq_id"), F.lit(C.SOURCE_SYSTEM).alias("source_system"), F.col("record_id").alias("source_record_id"), F.lit(C.NORMALIZER_ID).alias("normalizer_id"),
+        code.alias("error_code"), F.concat_ws(" ", "schema_name", "schema_version").substr(1, 256).alias("error_summary"), now.alias("created_at"), F.lit(None).cast("timestamp").alias("resolved_at"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,9 @@ def landing_rows(accepted: DataFrame, now: Column) -> DataFrame:
         F.coalesce("trace_id", attr("$.traceId"), attr("$.correlation.traceId")).alias("trace_id"), F.coalesce(_maybe(accepted, "span_id"), attr("$.spanId"), attr("$.correlation.spanId")).alias("span_id"),
         "occurred_at", "emitted_at", "received_at", now.alias("ingested_at"), F.coalesce("attributes_json", F.lit("{}")).alias("attributes_json"), F.coalesce("payload_json", F.lit("null")).alias("payload_json"),
         g("envelope_json"), g("arrival_seq", "bigint"), F.unix_millis(now).alias("ingest_version"),
+        # What replay needs besides the envelope, so that facts get the hashes they had.
+        m["smpp_source_id"].alias("smpp_source_id"), F.coalesce(_maybe(accepted, "quality_status"), F.lit("unknown")).alias("quality_status"),
+        F.coalesce(_maybe(accepted, "reason_codes", "array<string>"), F.array().cast("array<string>")).alias("reason_codes"),
     )
 
 
@@ -101,6 +104,12 @@ def shared_error(facts: DataFrame) -> Column:
     return F.when((F.coalesce(F.length(source), F.lit(0)) == 0) | ~F.col("provenance.mapping_version").eqNullSafe(4), "SMPP_SOURCE_MAPPING_ID_MISSING").otherwise(S.payload_semantics(F.col("fact_type"), F.col("raw_payload_json"))["error_code"])
 
 
+def relation_error(facts: DataFrame) -> Column:
+    """The code if a relation of the fact has a URN that is not canonical; null if none has."""
+    bad = F.exists("relations", lambda r: S.parse_urn(r["source_entity_urn"]).isNull() | S.parse_urn(r["target_entity_urn"]).isNull())
+    return F.when(F.coalesce(bad, F.lit(False)), F.lit("SMPP_RELATION_URN_INVALID"))
+
+
 def project_shared_provider(facts: DataFrame, now: Column) -> DataFrame:
     """N8. Typed rows of the shared warehouse; facts with a ``shared_error`` must be diverted before."""
     f = facts.withColumn("s", S.payload_semantics(F.col("fact_type"), F.col("raw_payload_json")))
@@ -125,7 +134,7 @@ def project_shared_provider(facts: DataFrame, now: Column) -> DataFrame:
 
 
 def project_shared_relations(facts: DataFrame, now: Column) -> DataFrame:
-    """N9. Relations with their URNs parsed; rows whose URN is not canonical are left out (divert them before)."""
+    """N9. Relations with their URNs parsed; facts with a ``relation_error`` must be diverted before; their rows are left out."""
     r = facts.select("environment", F.col("source_instance.smpp_source_id").alias("smpp_source_id"), F.explode("relations").alias("r")).select("environment", "smpp_source_id", "r.*")
     r = r.withColumns({"su": S.parse_urn(F.col("source_entity_urn")), "tu": S.parse_urn(F.col("target_entity_urn"))}).filter("su IS NOT NULL AND tu IS NOT NULL")
     text = lambda c: F.coalesce(F.col(c), F.lit("")).alias(c)
@@ -145,6 +154,29 @@ def check_target_schema(df: DataFrame, expected: T.StructType) -> None:
         raise ValueError("SMPP_SCHEMA_DRIFT")
 
 
+def check_target_catalog(spark: SparkSession, core: str, meta: str, expected: dict[str, T.StructType]) -> None:
+    """N10 in full: raises ValueError unless the shared warehouse has the release, the tables and the views that the projection is written for.
+
+    ``core`` and ``meta`` are its databases as the session's catalog names them. Of each expected table the names and types of all columns
+    must agree, in order. Nothing is read but one row of the release view.
+    """
+    release = f"{meta}.{C.SHARED_RELEASE_VIEW}"
+    if not spark.catalog.tableExists(release):
+        raise ValueError("SMPP_SCHEMA_DRIFT: no release")
+    missing = [c for c in C.SHARED_RELEASE if c not in spark.table(release).columns]
+    # The first of one row; a second one makes the release ambiguous.
+    rows = [] if missing else spark.table(release).select(*C.SHARED_RELEASE).limit(2).collect()
+    if len(rows) != 1 or rows[0].asDict() != C.SHARED_RELEASE:
+        raise ValueError("SMPP_SCHEMA_DRIFT: release")
+    for name, schema in expected.items():
+        if not spark.catalog.tableExists(f"{core}.{name}"):
+            raise ValueError(f"SMPP_SCHEMA_DRIFT: {name}")
+        check_target_schema(spark.table(f"{core}.{name}"), schema)
+    for view in C.SHARED_VIEWS:
+        if not spark.catalog.tableExists(f"{core}.{view}"):
+            raise ValueError(f"SMPP_SCHEMA_DRIFT: {view}")
+
+
 @dataclass
 class Target:
     """S5. A projection target; ``route_ids`` defaults to the target's own id."""
@@ -187,15 +219,56 @@ def layer_tables(tables: dict[str, DataFrame], target: Target) -> dict[str, Data
 
 Normalizer = Callable[[DataFrame, Column], DataFrame]
 Projection = Callable[[DataFrame, Column], dict[str, DataFrame]]
-#: Plug-ins: normalizers by (source system, schema name, version), projections by id.
-NORMALIZERS: dict[tuple[str, str, str], Normalizer] = {}
+
+
+@dataclass(frozen=True)
+class NormalizerEntry:
+    """Takes records of a schema whose version is ``low`` or later and before ``high``, as ``major.minor.patch``."""
+
+    source_system: str
+    schema_name: str
+    low: str
+    high: str
+    normalize: Normalizer
+
+
+#: Plug-ins: normalizers by schema and range of versions, the first that fits; projections by id.
+NORMALIZERS: list[NormalizerEntry] = []
 PROJECTIONS: dict[str, Projection] = {}
 
 
+def _version(text: Column) -> Column:
+    """A version as an array that compares like one; null for any other text. Versions before a release rank as no release."""
+    return F.when(text.rlike(r"^[0-9]{1,9}\.[0-9]{1,9}\.[0-9]{1,9}$"), F.transform(F.split(text, r"\."), lambda x: x.cast("int")))
+
+
+def normalizer_of(entries: list[NormalizerEntry]) -> Column:
+    """The number of a record's normalizer; null if none takes it."""
+    own, out = _version(F.col("schema_version")), F.lit(None).cast("int")
+    for i, e in reversed(list(enumerate(entries))):
+        fits = (F.col("source_system") == e.source_system) & (F.col("schema_name") == e.schema_name) & (own >= _version(F.lit(e.low))) & (own < _version(F.lit(e.high)))
+        out = F.when(F.coalesce(fits, F.lit(False)), F.lit(i)).otherwise(out)
+    return out
+
+
+def normalize_by_schema(accepted: DataFrame, now: Column, entries: list[NormalizerEntry] | None = None) -> tuple[DataFrame, DataFrame]:
+    """2.13. Facts of records of several schemas and versions in one plan, each row by its own normalizer, and dead letters of those without one."""
+    from telmark.operators.normalize import unknown_schema
+
+    entries = NORMALIZERS if entries is None else entries
+    rows = accepted if "source_system" in accepted.columns else accepted.withColumn("source_system", F.lit(C.SOURCE_SYSTEM))
+    marked = rows.withColumn("_normalizer", normalizer_of(entries))
+    facts = None
+    for i, e in enumerate(entries):
+        own = e.normalize(marked.filter(F.col("_normalizer") == i).drop("_normalizer"), now)
+        facts = own if facts is None else facts.unionByName(own)
+    return facts, unknown_schema(marked.filter("_normalizer IS NULL"), now)
+
+
 def _register_defaults() -> None:
     from telmark.operators.normalize import normalize
 
-    NORMALIZERS[C.SOURCE_SYSTEM, C.SCHEMA_NAME, C.SCHEMA_VERSION] = normalize
+    NORMALIZERS.append(NormalizerEntry(C.SOURCE_SYSTEM, C.SCHEMA_NAME, C.SCHEMA_VERSION, "1.2.0", normalize))
     PROJECTIONS[C.CORE_PROJECTION_ID] = lambda facts, now: {**{f"core.{k}": v for k, v in project_core(facts, now).items()}, "core.entity_relation_fact": project_core_relations(facts)}
     PROJECTIONS[C.SHARED_PROJECTION_ID] = lambda facts, now: {"core.external_provider_fact": project_shared_provider(facts, now), "core.external_entity_relation_fact": project_shared_relations(facts, now)}
 

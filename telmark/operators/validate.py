@@ -273,12 +273,14 @@ def validate_envelopes(df: DataFrame, limits: dict | None = None, check_hash: bo
         drop.append("_early")
     else:
         code = F.coalesce(*steps)
-    out = out.withColumn("error_code", code)
-    message = F.col("error_code")
+    message = F.col("_code")
     if "present_keys" in cols:
         missing = F.array_except(F.array(*[F.lit(k) for k in C.REQUIRED_KEYS]), F.col("present_keys"))
         message = F.when(message == "REQUIRED_FIELD_MISSING", F.get(missing, F.lit(0))).otherwise(message)
-    return out.withColumn("error_message", error_summary(message)).drop(*[d for d in drop if d == "_early"], *(["correlation_code"] if "correlation_code" in drop else []))
+    # A generator's output is no expression that a caller's filter on it could repeat: the chain is worked once a row.
+    verdict = F.inline(F.array(F.struct(F.col("_code").alias("error_code"), error_summary(message).alias("error_message"))))
+    kept = [c for c in out.columns if c not in (*drop, "error_code", "error_message") or c == "correlation"]
+    return out.withColumn("_code", code).select(*kept, verdict)
 
 
 def safe_source_hint(df: DataFrame) -> Column:

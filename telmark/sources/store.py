@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: dict[str, SparkSession] = {}
+
 
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; only in local mode one is made here where that is unset."""
@@ -22,8 +25,39 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return found.get()
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, as Hadoop objects; any store that Spark reads has one."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows written once as a table and read back, so that each later use reads only the columns it needs."""
+    """The rows written once as a table and read back, so that each later use reads only the columns it needs.
+
+    The table goes with the process that made it, or earlier by ``discard``.
+    """
     path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _made[path] = df.sparkSession
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes a table of ``stored`` that nothing reads any more."""
+    path = getattr(df, "stored_path", None)
+    if path is not None and (spark := _made.pop(path, None)) is not None:
+        fs, p = file_system(spark, path)
+        fs.delete(p, True)
+
+
+@atexit.register
+def _discard_all() -> None:
+    while _made:
+        path, spark = _made.popitem()
+        try:
+            fs, p = file_system(spark, path)
+            fs.delete(p, True)
+        except Exception:  # The process ends; the JVM may be gone already.
+            return
