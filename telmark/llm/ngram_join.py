@@ -36,7 +36,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telmark.llm.shared import connected_components, durable, free_name
+from telmark.llm.shared import connected_components, free_name, written
 from telmark.llm.text_hash import mix, shingle_sets, string_buffers
 
 GROUPS = 128
@@ -412,7 +412,7 @@ def _near(members: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 def _tiled(large: DataFrame) -> DataFrame:
     """Members of large blocks, once for each pair of tiles they belong to; what two tiles of one component share is left out."""
-    large = durable(large)
+    large = written(large)
     per = large.groupBy("f1", "f2", "comp").agg(F.count("*").alias("c")).withColumn("owner", F.when(F.col("c") > TILE, F.col("comp")))
     tiles = per.groupBy("f1", "f2", "owner").agg(F.ceil(F.sum("c") / TILE).cast("int").alias("tiles"))
     owned = per.filter("owner IS NOT NULL").select("f1", "f2", "comp", "owner")
@@ -440,9 +440,9 @@ def _pairs(members: DataFrame, points: DataFrame, comp: DataFrame, percent: int,
 
 def _linked(pairs: DataFrame, classes: DataFrame, live: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs of classes whose texts' sets reach the threshold."""
-    pairs = durable(pairs)
+    pairs = written(pairs)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    needed = durable(classes.join(wanted, "rep"))
+    needed = written(classes.join(wanted, "rep"))
     # Broadcast behind a count, so that the texts need no shuffle; beyond it the join shuffles.
     side = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
     texts = live.join(side, ["doc", "tag"]).select("rep", "text")
@@ -455,7 +455,7 @@ def near_duplicate_components(docs: DataFrame, k: int = 5, percent: int = 80) ->
     """``(doc_id, n_shingles, component_id)`` of every row; a link is Jaccard of at least ``percent`` in a hundred."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     own = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64(text).alias("tag"), text.alias("text"))
-    counted = durable(own.mapInArrow(_sizes(k), "kind long, doc long, tag long, n long, s1 long, s2 long"))
+    counted = written(own.mapInArrow(_sizes(k), "kind long, doc long, tag long, n long, s1 long, s2 long"))
     sized = counted.filter("kind = 0").drop("kind")
     # Any fixed order of tokens is exact; putting frequent ones last keeps passages that many documents share out of the prefixes.
     top = counted.filter("kind = 1").groupBy("tag").agg(F.sum("n").alias("n")).orderBy(F.col("n").desc(), "tag").limit(FREQUENT_TOKENS).select("tag").toArrow()
@@ -466,12 +466,12 @@ def near_duplicate_components(docs: DataFrame, k: int = 5, percent: int = 80) ->
     live = own.filter(F.col("doc").isNotNull())
     full = live.mapInArrow(_sets(k, percent, frequent), "doc long, tag long, n long, s1 long, s2 long, point binary, prefix binary").filter("n > 0")
     first = lambda c: F.min_by(c, F.struct("doc", "tag")).alias(c)
-    heads = durable(full.groupBy(F.col("s1").alias("rep")).agg(first("point"), first("prefix"), first("n")))
+    heads = written(full.groupBy(F.col("s1").alias("rep")).agg(first("point"), first("prefix"), first("n")))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "place", "rep"]
     posted = heads.select("rep", "n", "prefix").mapInArrow(_postings, "key long, place long, rep long").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     blocks = posted.mapInArrow(_blocks(percent), "f1 long, f2 long, f3 long, members long, reps binary").dropDuplicates(["f1", "f2", "f3"])
-    listed = durable(blocks.mapInArrow(_members, "f1 long, f2 long, members long, rep long"))
+    listed = written(blocks.mapInArrow(_members, "f1 long, f2 long, members long, rep long"))
     border = listed.filter("members < 0").drop("members")
     total = border.groupBy("f1", "f2").agg(F.count("*").alias("members")).filter("members > 1")
     members = listed.filter("members > 0").unionByName(border.join(total, ["f1", "f2"]).select(listed.columns))
@@ -480,14 +480,14 @@ def near_duplicate_components(docs: DataFrame, k: int = 5, percent: int = 80) ->
     again = again.join(again.groupBy("doc").agg(F.min("b").alias("a"), F.count("*").alias("c")).filter("c > 1"), "doc").select("a", "b")
     # First one neighbour of each class, then the best partner in another component: enough to join groups of near copies.
     near = _near(members, points, percent).groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    edges = durable(_linked(near, classes, live, k, percent).unionByName(again))
-    comp = durable(connected_components(edges))
+    edges = written(_linked(near, classes, live, k, percent).unionByName(again))
+    comp = written(connected_components(edges))
     for mode in ("best", "every"):
-        more = durable(_linked(_pairs(members, points, comp, percent, mode), classes, live, k, percent))
+        more = written(_linked(_pairs(members, points, comp, percent, mode), classes, live, k, percent))
         if not more.isEmpty():
             # The stars found so far connect the same classes as all links before.
             stars = comp.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            comp = durable(connected_components(stars.unionByName(more)))
+            comp = written(connected_components(stars.unionByName(more)))
     rooted = classes.select("rep", "doc").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("rep", "doc", F.coalesce("component", "rep").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc").alias("least"))
     labels = rooted.join(least, "root").select("rep", "least")

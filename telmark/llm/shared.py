@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telmark.sources.store import checkpoint_folder
+from telmark.sources.store import checkpoint_folder, discard, stored
 
 
 def durable(df: DataFrame) -> DataFrame:
@@ -14,6 +14,11 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """As ``durable``, by a table in the shared folder: its rows are worked out once, where an eager checkpoint counts them first."""
+    return stored(df, "written")
+
+
 def free_name(columns: list[str], name: str) -> str:
     """The name, with underscores before it as long as a column has it."""
     taken = {c.lower() for c in columns}
@@ -54,13 +59,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60, task_rows: int
         return tuple(r)
 
     e = edges.filter(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    e = durable(e)
+    e = written(e)
     before = mark(e)
     for _ in range(max_rounds):
         if not before[0]:
             break
         tasks = -(-before[0] // task_rows)
-        e = durable(stars(stars(e.coalesce(tasks), True, tasks), False, tasks))
+        last, e = e, written(stars(stars(e.coalesce(tasks), True, tasks), False, tasks))
+        discard(last)
         now = mark(e)
         if now == before:
             break

@@ -11,9 +11,13 @@ All of it is DataFrame expressions. The n-gram table is a shuffle aggregation th
 the corpus; n-grams that nearly every URL has are pre-aggregated for the counts, and adaptive
 execution splits them in the scoring join. The driver sees a histogram of 512 rows.
 
-Defined results: null URLs and URLs without ``://`` have empty host and path; no rule fits
-them and an empty string scores 0. With no accepted or no rejected training URL, undecided URLs
-get the class that has some, or ``allow`` if neither has. Repeated rows are judged each.
+The models read all of a URL that follows ``://``, query and fragment included, with the host's A-Z lower-cased, and the whole of a URL
+without ``://``.
+
+Defined results: null URLs and URLs without ``://`` have empty host and path, and no rule fits
+them; a null URL is read as an empty one, which is its end mark alone. With no accepted or no rejected training URL, undecided URLs
+get the class that has some, or ``allow`` if neither has. Repeated rows are judged each, null page_ids stay null, very long URLs are
+read whole. An empty table gives an empty result. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,6 +43,13 @@ def host_path(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
+def model_text(url: Column, host: Column) -> Column:
+    """What the models read of a URL."""
+    has = F.coalesce(F.contains(url, F.lit("://")), F.lit(False))
+    after = F.substring(url, F.instr(url, "://") + 3 + F.length(host), F.length(url))
+    return F.coalesce(F.when(has, F.concat(host, after)).otherwise(url), F.lit(""))
+
+
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
     """The longest fitting rule ``(verdict, host, path)`` as text, and its verdict; nulls where none fits."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -50,9 +61,9 @@ def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tu
 
 def _grams(df: DataFrame) -> DataFrame:
     """One row per character: the character with its ORDER predecessors."""
-    s = F.concat(F.lit("\u0002" * ORDER), F.col("host"), F.col("path"), F.lit("\u0003"))
-    at = F.explode(F.sequence(F.lit(1), F.length("host") + F.length("path") + 1))
-    return df.withColumn("s", s).select("*", at.alias("i")).withColumn("gram", F.substring(F.col("s"), F.col("i"), F.lit(ORDER + 1))).drop("s", "i", "host", "path")
+    s = F.concat(F.lit("\u0002" * ORDER), F.col("text"), F.lit("\u0003"))
+    at = F.explode(F.sequence(F.lit(1), F.length("text") + 1))
+    return df.withColumn("s", s).select("*", at.alias("i")).withColumn("gram", F.substring(F.col("s"), F.col("i"), F.lit(ORDER + 1))).drop("s", "i", "text")
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
@@ -83,7 +94,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url")).select("page_id", "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("rule", rule).withColumn("decided", verdict).withColumn("row", F.xxhash64("page_id", "url"))
     half = F.pmod(F.xxhash64("host"), F.lit(2)).cast("int")
-    grams = _grams(rows.select("row", "decided", half.alias("half"), "host", "path"))
+    grams = _grams(rows.select("row", "decided", half.alias("half"), model_text(F.col("url"), F.col("host")).alias("text")))
     is_a, is_b = F.col("decided").eqNullSafe("allow"), F.col("decided").eqNullSafe("block")
     one = lambda c: F.sum(c.cast("long"))
     counts = durable(grams.groupBy("gram").agg(

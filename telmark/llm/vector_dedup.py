@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from telmark.llm.shared import connected_components, durable
+from telmark.llm.shared import connected_components, written
 from telmark.llm.vectors import matrix, usable
 
 BITS = 62
@@ -163,7 +163,7 @@ def _missed_links(members: DataFrame, codes: DataFrame, threshold: float, parts:
     rows = codes.join(comp, "rep", "left").withColumn("comp", F.coalesce("component", "rep"))
     order = ["label", "dim", "code", "rep"]
     packs = rows.select(*order, "comp", "embedding").repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    packs = durable(packs.mapInArrow(_pack, "id long, label long, dim int, one long, center array<double>, radius double, reps binary, comps binary, vectors binary"))
+    packs = written(packs.mapInArrow(_pack, "id long, label long, dim int, one long, center array<double>, radius double, reps binary, comps binary, vectors binary"))
     # A label's blocks are dealt to cells of about PACKS_IN_TASK; two cells are a key of the join, so a hot label has many keys.
     hot = packs.groupBy("label", "dim").agg(F.count("*").alias("c")).filter(F.col("c") > PACKS_IN_TASK).select("label", "dim", F.ceil(F.col("c") / PACKS_IN_TASK).cast("int").alias("cells"))
     packs = packs.join(hot, ["label", "dim"], "left").withColumn("cells", F.coalesce("cells", F.lit(1)))
@@ -213,16 +213,16 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, passes: int = 8
     ok = usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull()
     keyed = rows.withColumn("ok", ok).withColumns({"k1": F.xxhash64("label", "embedding"), "k2": F.xxhash64("embedding", F.lit(1), "label")})
     classes = keyed.filter("ok").groupBy("k1", "k2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
-    classes = durable(classes.withColumn("dim", F.size("embedding")))
+    classes = written(classes.withColumn("dim", F.size("embedding")))
     items = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
     project = lambda n: classes.select("rep", "label", "dim", "embedding").mapInArrow(_project(n, seed), f"pass int, label long, dim int, code long, rep long, embedding array<{items}>")
     order = ["pass", "label", "dim", "code", "rep"]
     parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     edges = project(passes).repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_windows(threshold), "a long, b long")
-    members = durable(connected_components(edges))
-    missed = durable(_missed_links(members, project(1), threshold, parts))
+    members = written(connected_components(edges))
+    missed = written(_missed_links(members, project(1), threshold, parts))
     if not missed.isEmpty():
-        members = durable(connected_components(members.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(missed)))
+        members = written(connected_components(members.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(missed)))
     sizes = members.groupBy("component").agg(F.count("*").alias("size")).filter("size > 1").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     inside = members.withColumnRenamed("node", "rep").join(sizes, "component").join(classes.select("rep", "n", "embedding"), "rep")
     inside = inside.withColumn("part", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -144,6 +144,24 @@ def test_url_model_separates_and_matches_brute_force(spark):
         assert abs(got[i]["score"] - want) < 1e-6
 
 
+def test_url_model_reads_query_fragment_and_urls_without_a_host(spark):
+    rng = random.Random(4)
+    word = lambda good: rng.choice(["garden", "recipes", "library"] if good else ["casino", "pills", "jackpot"])
+    shapes = [lambda w: f"http://x.{{}}/p?q={w}-{w}", lambda w: f"http://x.{{}}/p#{w}-{w}"]
+    rows = [(i, rng.choice(shapes)(word(i < 60)).format("ok" if i < 60 else "no")) for i in range(120)]
+    new = [(200 + i, rng.choice(shapes)(word(i < 20)).format("new")) for i in range(40)] + [(300 + i, f"{word(i < 20)}-{word(i < 20)}") for i in range(40)]
+    long = "http://y.new/" + "garden-" * 5000
+    df = spark.createDataFrame([(*r, "h", "t") for r in rows + new + [(400, long), (None, new[0][1]), (200, new[0][1]), (500, None)]], "page_id long, url string, host string, text string")
+    got = {}
+    for r in url_filter.judge(df, [("allow", "ok", "/"), ("block", "no", "/")]).collect():
+        got.setdefault(r["page_id"], []).append(r)
+    for i, _ in new:
+        assert {r["verdict"] for r in got[i]} == {"allow" if i % 100 < 20 else "block"}, i
+    assert len(got[200]) == 2 and got[None][0]["score"] == got[200][0]["score"] and got[400][0]["verdict"] == "allow" and len(got[500]) == 1
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert url_filter.judge(empty, [("allow", "ok", "/")]).count() == 0
+
+
 def test_hypergeometric_law():
     rng = random.Random(1)
     x = np.array([sharding.hypergeometric(rng, 30, 70, 20) for _ in range(4000)])
