@@ -17,6 +17,18 @@ from telmark.llm.queries import vocabulary
 from telmark.llm.shared import checkpoint_folder, free_name, table
 
 
+#: Bytes of texts that a Python worker gets at once.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _bounded(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes, not by rows alone, so that workers' memory does not follow the length of texts; a lower bound stays."""
+    now = int(spark.conf.get(_BATCH, "0"))
+    if now <= 0 or now > BATCH_BYTES:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def _counted(new: DataFrame, columns: list[str]) -> DataFrame:
     """The columns of the documents, with ``n_chars`` of the new text."""
     if "n_chars" in columns:
@@ -26,6 +38,7 @@ def _counted(new: DataFrame, columns: list[str]) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores 0.5 or more go."""
+    _bounded(spark)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
     name = free_name(docs.columns, "toxic_score")
     return toxicity.score(docs, model, name).filter(F.col(name) < 0.5).select(docs.columns)
@@ -33,21 +46,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of 20 characters or more that three documents share stay in one."""
+    _bounded(spark)
     return _counted(line_dedup.drop_lines(docs, counts=None), docs.columns)
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by a Jaccard similarity of 0.8 on five-word shingles the smallest doc_id stays."""
+    _bounded(spark)
     return ngram_join.keep_one(docs, k=5, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Findings, in plain text or wrapped in encodings, are replaced."""
+    _bounded(spark)
     return _counted(secret_scan.redact_documents(docs), docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All token pieces of the documents that are left, placed in sequences of 4096."""
+    _bounded(spark)
     return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
 
 
