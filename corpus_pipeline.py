@@ -23,10 +23,8 @@ _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def _bounded(spark: SparkSession) -> None:
-    """Bounds the session's Arrow batches by bytes, not by rows alone, so that workers' memory does not follow the length of texts; a lower bound stays."""
-    now = int(spark.conf.get(_BATCH, "0"))
-    if now <= 0 or now > BATCH_BYTES:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    """Bounds the session's Arrow batches by bytes, so that workers' memory does not follow the length of texts; a bound that the session has stays."""
+    spark.conf.set(_BATCH, spark.conf.get(_BATCH, str(BATCH_BYTES)))
 
 
 def _counted(new: DataFrame, columns: list[str]) -> DataFrame:
