@@ -219,9 +219,68 @@ def safe_int(text: Column) -> Column:
     return F.when(F.abs(n) <= F.lit(9007199254740991).cast("decimal(38,0)"), n.cast("string")).otherwise(F.concat(F.lit('"'), text, F.lit('"')))
 
 
+_TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,9}))?)?"
+_ZONE = r"\s*(Z|UTC|GMT)?\s*([+-]\d{2}:?\d{2})?(?:\s*\([^()]*\))?"
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
+_NAME = rf"({'|'.join(_MONTHS.split())})[a-z]*"
+_WEEKDAY = r"(?:(?:sun|mon|tue|wed|thu|fri|sat)[a-z]*,?\s+)?"
+#: Families of date texts: a pattern, and which of its groups are year, month and day; hour, minute, second, fraction, UTC and offset follow those three.
+_DATE_FORMS = (
+    # ISO 8601: a date alone is in UTC, and so is a time without an offset, as the service runs in UTC.
+    (r"(?:(\d{4}|[+-]\d{6})(?:-(\d{2})(?:-(\d{2}))?)?)(?:[Tt ]%s)?\s*([Zz])?([+-]\d{2}:?\d{2})?" % _TIME, (1, 2, 3)),
+    # Mail and HTTP: 5 Jan 2024 10:00:00 +0100.
+    (rf"(?i){_WEEKDAY}(\d{{1,2}})[ -]{_NAME}[ -](\d{{4}})(?:\s+{_TIME})?{_ZONE}", (3, 2, 1)),
+    # As a date prints: Fri Jan 05 2024 10:00:00 GMT+0100 (name).
+    (rf"(?i){_WEEKDAY}{_NAME}\s+(\d{{1,2}}),?\s+(\d{{4}})(?:\s+{_TIME})?{_ZONE}", (3, 1, 2)),
+    # 2024/1/5 and 1/5/2024.
+    (rf"(?i)(\d{{4}})/(\d{{1,2}})/(\d{{1,2}})(?:\s+{_TIME})?{_ZONE}", (1, 2, 3)),
+    (rf"(?i)(\d{{1,2}})/(\d{{1,2}})/(\d{{4}})(?:\s+{_TIME})?{_ZONE}", (3, 1, 2)),
+)
+
+
+def _epoch_millis(x: Column) -> Column:
+    """Milliseconds of a struct ``y, m, d, h, mi, s, f, o`` of numbers; null unless all are in range. A day past a month's end goes on in the next."""
+    year = x["y"] - F.when(x["m"] <= 2, 1).otherwise(0)
+    era = F.floor(year / 400)
+    of_era = year - era * 400
+    day = F.floor((153 * (x["m"] + F.when(x["m"] > 2, -3).otherwise(9)) + 2) / 5) + x["d"] - 1
+    days = era * 146097 + of_era * 365 + F.floor(of_era / 4) - F.floor(of_era / 100) + day - 719468
+    ok = x["m"].between(1, 12) & x["d"].between(1, 31) & (x["mi"] <= 59) & (x["s"] <= 59) & ((x["h"] <= 23) | ((x["h"] == 24) & (x["mi"] + x["s"] + x["f"] == 0))) & (F.abs(x["o"]) < 24 * 60)
+    millis = days * 86_400_000 + (x["h"] * 60 + x["mi"] - x["o"]) * 60_000 + x["s"] * 1000 + x["f"]
+    return F.when(ok & F.abs(millis).between(0, 8_640_000_000_000_000), millis.cast("bigint"))
+
+
+_PLAIN = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})$"
+
+
 def iso_timestamp(text: Column) -> Column:
-    """F14. RFC 3339 text to a timestamp of milliseconds; null if it does not parse."""
-    return F.date_trunc("MILLISECOND", F.try_to_timestamp(F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text)))
+    """F14. A date text in any of ``_DATE_FORMS`` to a timestamp of milliseconds; null if it is none of them, or out of range.
+
+    The usual form is left to the parser of timestamps; only other texts are matched with the forms, one by one.
+    """
+    number = lambda c, default: F.coalesce(c.try_cast("bigint"), F.lit(default).cast("bigint"))
+
+    def matched(t: Column) -> Column:
+        out = None
+        for pattern, (y, m, d) in _DATE_FORMS:
+            whole = rf"^\s*(?:{pattern})\s*$"
+            group = lambda i, whole=whole: F.regexp_extract(t, whole, i)
+            month = F.ceil((F.instr(F.lit(_MONTHS), F.lower(group(m))) + 3) / 4).cast("bigint") if "jan" in pattern else number(group(m), 1)
+            offset = F.replace(group(9), F.lit(":"))
+            minutes = number(F.substring(offset, 2, 2), 0) * 60 + number(F.substring(offset, 4, 2), 0)
+            parts = F.struct(
+                number(group(y), 0).alias("y"), month.alias("m"), number(group(d), 1).alias("d"), number(group(4), 0).alias("h"), number(group(5), 0).alias("mi"), number(group(6), 0).alias("s"),
+                number(F.substring(F.concat(group(7), F.lit("000")), 1, 3), 0).alias("f"), F.when(offset.startswith("-"), -minutes).otherwise(minutes).alias("o"),
+            )
+            one = F.when(t.rlike(whole), let(parts, _epoch_millis))
+            out = one if out is None else F.coalesce(out, one)
+        return out
+
+    def read(t: Column) -> Column:
+        plain = F.date_trunc("MILLISECOND", F.try_to_timestamp(F.when(t.rlike(_PLAIN), t)))
+        return F.coalesce(plain, F.timestamp_millis(matched(t)))
+
+    return let(text, read)
 
 
 def revision_text(payload: Column, observation_revision: Column, command_sequence: Column) -> Column:

@@ -11,6 +11,7 @@ from telmark import contracts as C
 from telmark.functions import scalars as S
 from telmark.operators import classify, mapping, validate
 from telmark.sources import otlp
+from telmark.sources.store import stored
 
 #: Seven records in a row are one source record in each mode.
 MODES = ("original", "conflict", "outage-recovery", "malformed", "oversized", "sensitive", "unselected")
@@ -60,9 +61,10 @@ def envelopes(records: DataFrame) -> DataFrame:
         "providerEventId": F.when(recovered, "recovery").otherwise("source"), "occurredAt": iso("occurred_at"), "emittedAt": iso(F.col("occurred_at") + F.expr("INTERVAL 0.25 SECOND")),
     }
     sequence = F.when(recovered, 2).otherwise(1)
-    out = records.select("arrival_seq", "received_at", mode.alias("mode"), *[v.alias(k) for k, v in fields.items()], sequence.cast("long").alias("providerEventSequence"), payload.alias("payload"))
-    text = F.to_json(F.struct(*fields, "providerEventSequence", F.parse_json(F.lit('{"source":"provider_telemetry_ingress"}')).alias("attributes"), F.parse_json("payload").alias("payload")))
-    return out.withColumn("recordHash", S.record_hash(text))
+    out = records.select("arrival_seq", mode.alias("mode"), *[v.alias(k) for k, v in fields.items()], sequence.cast("long").alias("providerEventSequence"), payload.alias("payload"))
+    body = F.to_json(F.struct(*fields, "providerEventSequence", F.parse_json(F.lit('{"source":"provider_telemetry_ingress"}')).alias("attributes"), F.parse_json("payload").alias("payload")))
+    # Written, so that the texts are made once, however often the hash's expression reads them.
+    return stored(stored(out.withColumn("body", body), "envelopes").withColumn("recordHash", S.record_hash(F.col("body"))).drop("body"), "envelopes")
 
 
 def requests(records: DataFrame) -> DataFrame:
@@ -73,7 +75,7 @@ def requests(records: DataFrame) -> DataFrame:
     value = lambda text=None, number=None, items=None: F.struct((none("string") if text is None else text).alias("stringValue"), (none("string") if number is None else number).alias("intValue"), (none(f"struct<values:{kv}>") if items is None else items).alias("kvlistValue"))
     pair = lambda key, v: F.struct(F.lit(key).alias("key"), v.alias("value"))
     flat = lambda text: F.struct(F.transform(F.map_entries(F.from_json(text, "map<string,string>")), lambda x: F.struct(x["key"].alias("key"), F.struct(x["value"].alias("stringValue")).alias("value"))).cast(kv).alias("values"))
-    names = [c for c in e.columns if c not in ("arrival_seq", "received_at", "mode", "payload", "providerEventSequence")]
+    names = [c for c in e.columns if c not in ("arrival_seq", "mode", "payload", "providerEventSequence")]
     body = [F.when(F.col(c).isNotNull(), pair(c, value(F.col(c)))) for c in names]
     body += [pair("providerEventSequence", value(number=F.col("providerEventSequence").cast("string"))), pair("attributes", value(items=flat(F.lit('{"source":"provider_telemetry_ingress"}')))), pair("payload", value(items=flat(F.col("payload"))))]
     plain = lambda key, v: F.struct(F.lit(key).alias("key"), F.struct(v.alias("stringValue")).alias("value"))

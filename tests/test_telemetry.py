@@ -291,3 +291,20 @@ def test_stream_equals_batch(spark, tmp_path):
     n = kinds.count()
     assert targets.read_table(spark, root, "core.provider_operation_fact").count() == n
     assert targets.read_table(spark, root, "landing.provider_ops", "landing").count() == kinds.select("record_id", "record_hash", "mapping.tenant_id").distinct().count()
+
+
+DATES = {
+    "2024-01-05T10:00:00.123456Z": "2024-01-05T10:00:00.123Z", "2024-01-05T10:00Z": "2024-01-05T10:00:00.000Z", "2024-01-05": "2024-01-05T00:00:00.000Z", "2024-02": "2024-02-01T00:00:00.000Z", "2024": "2024-01-01T00:00:00.000Z",
+    "2024-01-05T10:00:00+05:30": "2024-01-05T04:30:00.000Z", "2024-01-05 10:00:00-0100": "2024-01-05T11:00:00.000Z", "2024-01-05T24:00:00Z": "2024-01-06T00:00:00.000Z", "2024-02-30": "2024-03-01T00:00:00.000Z", "+002024-01-05T00:00:00Z": "2024-01-05T00:00:00.000Z",
+    "1969-12-31T23:59:59.999Z": "1969-12-31T23:59:59.999Z", "0001-01-01T00:00:00Z": "0001-01-01T00:00:00.000Z", "Fri, 5 Jan 2024 10:00:00 GMT": "2024-01-05T10:00:00.000Z", "5 January 2024 10:00:00 +0100": "2024-01-05T09:00:00.000Z",
+    "Fri Jan 05 2024 10:00:00 GMT+0100 (Central European Standard Time)": "2024-01-05T09:00:00.000Z", "Jan 5, 2024": "2024-01-05T00:00:00.000Z", "2024/1/5 7:08": "2024-01-05T07:08:00.000Z", "1/5/2024": "2024-01-05T00:00:00.000Z",
+}
+NO_DATES = ["", "soon", "2024-13-01", "2024-00-01", "2024-01-32", "2024-01-05T25:00:00Z", "2024-01-05T24:00:01Z", "2024-01-05T10:60:00Z", "2024-01-05T10:00:00Zulu", "24-01-05", "2024-1", "Fri", "13/1/2024", "5 Foo 2024", "2024-01-05T10", "+999999-01-01T00:00:00Z", None]
+
+
+def test_date_forms(spark):
+    df = spark.createDataFrame([(t,) for t in [*DATES, *NO_DATES]], "t string")
+    got = {r["t"]: r["ms"] for r in df.select("t", F.unix_millis(S.iso_timestamp(F.col("t"))).alias("ms")).collect()}
+    epoch = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+    want = {t: (datetime.datetime.fromisoformat(x.replace("Z", "+00:00")) - epoch) // datetime.timedelta(milliseconds=1) for t, x in DATES.items()}
+    assert got == want | dict.fromkeys(NO_DATES)
