@@ -289,6 +289,23 @@ def test_supervisor_tells_required_from_optional_at_run_time(spark, source, tmp_
         supervise.Supervisor(spark, stream(spark, source), [project.Target("late", required=True)], str(tmp_path / "b"), attempts=2, backoff=0.1, run=run).run(timeout=300)
 
 
+def test_preflight_runs_before_the_first_write(spark, source, tmp_path):
+    target, root, calls = project.Target("standalone-smpp", write_layers=["landing"]), str(tmp_path / "out"), []
+
+    def preflight():
+        calls.append(targets._names(spark, root))
+        if len(calls) == 1:
+            raise ValueError("SMPP_SCHEMA_DRIFT: release")
+
+    for _ in range(2):
+        q = targets.run_target(stream(spark, source, 4), target, root, f"{root}-cp", preflight=preflight)
+        try:
+            q.awaitTermination(300)
+        except Exception as error:
+            assert "SMPP_SCHEMA_DRIFT" in str(error)
+    assert calls == [[], []] and targets.read_table(spark, root, "landing.provider_ops").count() > 100
+
+
 def test_preflight_raises_on_each_drift(spark):
     core, meta = f"c{uuid.uuid4().hex}", f"m{uuid.uuid4().hex}"
     expected = {"external_provider_fact": T.StructType([T.StructField("fact_id", T.StringType()), T.StructField("n", T.IntegerType())])}
