@@ -63,8 +63,8 @@ def envelopes(records: DataFrame) -> DataFrame:
     sequence = F.when(recovered, 2).otherwise(1)
     out = records.select("arrival_seq", mode.alias("mode"), *[v.alias(k) for k, v in fields.items()], sequence.cast("long").alias("providerEventSequence"), payload.alias("payload"))
     body = F.to_json(F.struct(*fields, "providerEventSequence", F.parse_json(F.lit('{"source":"provider_telemetry_ingress"}')).alias("attributes"), F.parse_json("payload").alias("payload")))
-    # Written, so that the texts are made once, however often the hash's expression reads them.
-    return stored(stored(out.withColumn("body", body), "envelopes").withColumn("recordHash", S.record_hash(F.col("body"))).drop("body"), "envelopes")
+    # Settled, so that the texts are made once, however often the hash's expression reads them.
+    return stored(S.settled(out.withColumn("body", body), {"body": F.col("body")}).withColumn("recordHash", S.record_hash(F.col("body"))).drop("body"), "envelopes")
 
 
 def requests(records: DataFrame) -> DataFrame:

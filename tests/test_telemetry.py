@@ -308,3 +308,35 @@ def test_date_forms(spark):
     epoch = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
     want = {t: (datetime.datetime.fromisoformat(x.replace("Z", "+00:00")) - epoch) // datetime.timedelta(milliseconds=1) for t, x in DATES.items()}
     assert got == want | dict.fromkeys(NO_DATES)
+
+
+def test_events_are_dealt_to_tasks_by_rows(spark):
+    """A file of one row group is one task; the records derived from it are not."""
+    r = fixtures.telemetry(spark, "/root/testdata/sf0.01")
+    assert r.rdd.getNumPartitions() > 1
+    assert r.count() == r.select("arrival_seq").distinct().count() == 10_000
+
+
+def test_usual_envelopes_stay_in_the_jvm(spark):
+    """An envelope of usual length with few values is not walked; odd ones get the codes of a walk."""
+    usual = {"payload": {"state": "x" * 2000}} | {f"k{i}": "v" for i in range(30)}
+    texts = [usual, usual | {"k1": "Bearer abc.def"}, usual | {"token": 1}, {"a": ["x"] * 1001}, {"a": "x" * 16_385}, {"a": "\U0001f600" * 8200}, {f"k{i}": 1 for i in range(501)}]
+    df = spark.createDataFrame([(i, json.dumps(t, ensure_ascii=False)) for i, t in enumerate(texts)], "i int, t string")
+    want = [None, "SENSITIVE_VALUE_DETECTED", "SENSITIVE_KEY_DETECTED", "ARRAY_TOO_LONG", "STRING_TOO_LONG", "STRING_TOO_LONG", "OBJECT_TOO_WIDE"]
+    rows = df.select("i", validate._harmless(F.col("t"), C.LIMITS).alias("h"), validate.scan_sensitive(F.col("t")).alias("c")).orderBy("i").collect()
+    assert [r["h"] for r in rows] == [True] + [False] * 6
+    assert [r["c"] for r in rows] == want
+
+
+@pytest.mark.parametrize("text", ["-----BEGIN PRIVATE KEY-----", "-----begin rsa prİvate key-----", "a BEARER x", "postgres://a:b@c", "bearer", "http://a:b@c", "plain"])
+def test_forbidden_value_prefilter_changes_nothing(text):
+    import re
+
+    assert validate._forbidden_value(text) == (re.search(C.FORBIDDEN_VALUE, text) is not None)
+
+
+def test_settled_columns_are_no_expressions(spark):
+    """What is settled is worked out below a generator, and later projections read its result."""
+    df = S.settled(spark.createDataFrame([("a", 1)], "t string, n int"), {"h": F.sha2("t", 256), "n": F.col("n") + 1}).select((F.col("h") == "x").alias("a"), F.concat("h", "h").alias("b"), "n")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sha2(") <= 1 and df.first()["n"] == 2
