@@ -12,7 +12,7 @@ Tails that no combination takes are packed greedily in groups: longest first, ea
 filled bins are poured out into the gaps of the others, which cuts at most one document a gap. The rest, less than a
 sequence a group, is cut at powers of two. So no sequence is padded, and only residual tails are cut.
 
-Ids are written once with the table of tails, two bytes each where the vocabulary allows, and read again only for tails that are cut.
+Ids are written once with the table of tails, two bytes each where the vocabulary allows, and read again only for tails that are cut: bitmaps of these are sent out, so that the ids of no other tail move.
 
 Defined results: a null text is an empty one: a single end token. Repeated rows are packed each. Very long texts are
 cut into as many pieces as they need. Null doc_ids stay null. An empty table gives an empty result. Further columns are ignored.
@@ -37,6 +37,8 @@ from telmark.llm.shared import checkpoint_folder
 
 TRIPLES = 1024
 ROUNDS = 60
+#: Bitmaps of 4 KB each that all tasks may get.
+BITMAPS = 16_384
 #: Where sequence ids of each kind begin: windows that fill no whole sequence, residual groups, and full pieces.
 SPLIT, RESIDUAL, FULL = 1 << 58, 1 << 60, 1 << 61
 TAILS = "part int, place long, doc_id long, doc_tokens long, full array<long>, full_first long, tail int, nth long, crc long, ids binary"
@@ -257,6 +259,22 @@ def _numbered(rows: DataFrame) -> DataFrame:
     return rows.join(per.select("part", "tail", before.alias("before")), ["part", "tail"]).withColumn("number", F.col("before") + F.col("nth")).drop("before", "nth")
 
 
+def _marked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose ``part`` and ``place`` are among the wanted ones, by bitmaps of a bit for each row that are sent to all tasks; the rows themselves do not move.
+
+    With more bitmaps than ``BITMAPS`` all rows are left.
+    """
+    place = F.col("place") + 1
+    bits = wanted.groupBy("part", F.bitmap_bucket_number(place).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+    bits = _written(bits, "marks")
+    if bits.count() > BITMAPS:
+        return rows
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.expr("substring(_bits, CAST(_at div 8 + 1 AS INT), 1)")), 16, 10).cast("int")
+    near = rows.withColumns({"_bucket": F.bitmap_bucket_number(place), "_at": at}).join(F.broadcast(bits), ["part", "_bucket"])
+    return near.filter(byte.bitwiseAND(F.expr("shiftleft(1, CAST(_at % 8 AS INT))")) != 0).select(rows.columns)
+
+
 def pack_documents(docs: DataFrame, path: str, sequence_length: int = 4096, end_id: int = 2, group_rows: int = 16384) -> DataFrame:
     """``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)`` of all pieces."""
     if sequence_length & (sequence_length - 1):
@@ -296,7 +314,8 @@ def pack_documents(docs: DataFrame, path: str, sequence_length: int = 4096, end_
             cols = [batch.column(c) for c in ("doc_id", "doc_tokens", "tail", "at", "length", "sequence_id", "offset")]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(crcs, pa.int64())], names=["doc_id", "doc_tokens", "tail", "at", "length", "sequence_id", "offset", "crc"])
 
-    cut = poured.filter("length < tail").drop("crc").join(written.select("part", "place", "ids"), ["part", "place"])
+    cut = poured.filter("length < tail").drop("crc")
+    cut = cut.join(_marked(written.select("part", "place", "ids"), cut).hint("merge"), ["part", "place"])
     cut = cut.mapInArrow(checksum, "doc_id long, doc_tokens long, tail int, at long, length long, sequence_id long, offset long, crc long")
 
     def piece(df: DataFrame, at: Column, length: Column) -> DataFrame:

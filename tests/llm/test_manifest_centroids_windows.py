@@ -267,3 +267,15 @@ def test_pour_keeps_all_and_pads_nothing(seed):
     for _, _, length, sequence, _ in pieces:
         sizes[sequence] = sizes.get(sequence, 0) + length
     assert all(n & (n - 1) == 0 for n in sizes.values()) and sum(n == 256 for n in sizes.values()) == sum(lengths) // 256
+
+
+def test_only_wanted_rows_are_left_by_bitmaps(spark, monkeypatch):
+    from telmark.llm import window_packing
+
+    rows = spark.range(70_000).selectExpr("CAST(id % 2 AS INT) AS part", "id DIV 2 AS place", "CAST('x' AS BINARY) AS ids")
+    wanted = rows.filter("place IN (0, 1, 7, 8, 32767, 32768) AND part = 1 OR place = 34999 AND part = 0").select("part", "place")
+    want = sorted(map(tuple, wanted.collect()))
+    got = window_packing._marked(rows, wanted)
+    assert got.columns == rows.columns and sorted((r["part"], r["place"]) for r in got.collect()) == want
+    monkeypatch.setattr(window_packing, "BITMAPS", 0)
+    assert window_packing._marked(rows, wanted).count() == 70_000
