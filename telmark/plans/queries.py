@@ -214,7 +214,9 @@ def _(spark, sf):
 @query("p13_layer_filter", "SELECT 'landing.provider_ops' AS table_name, count(*) AS n FROM accepted UNION ALL SELECT 'edges', count(*) FROM rel")
 def _(spark, sf):
     t = project.Target("a", write_layers=["landing", "relation"], table_map={"core.entity_relation_fact": "edges"})
-    made = project.layer_tables({"landing.provider_ops": landing(spark, sf), "core.entity_relation_fact": relations(spark, sf), "core.provider_operation_fact": core(spark, sf)}, t)
+    accepted = classified(spark, sf).accepted
+    f = pipeline.facts_of(accepted)
+    made = project.layer_tables({"landing.provider_ops": project.landing_rows(accepted, pipeline.projected_at()), "core.entity_relation_fact": project.project_core_relations(f), "core.provider_operation_fact": core_of(f)}, t)
     parts = [df.agg(F.count("*").alias("n")).select(F.lit(k).alias("table_name"), "n") for k, df in made.items()]
     return parts[0].unionByName(parts[1])
 
