@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from telmark import contracts as C
+from telmark.functions import scalars as S
 
 
 def read_envelopes(spark: SparkSession, path: str, stream: bool = False, format: str = "text") -> DataFrame:  # noqa: A002
@@ -45,10 +46,13 @@ def _plain(value: object) -> object:
     return None
 
 
+_ENCODER = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"))
+
+
 @F.pandas_udf(T.StringType())
 def _plain_json(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in values:
-        yield s.map(lambda t: None if t is None else json.dumps(_plain(json.loads(t)), ensure_ascii=False, separators=(",", ":")))
+        yield s.map(lambda t: None if t is None else _ENCODER.encode(_plain(json.loads(t))))
 
 
 def anyvalue_to_json(value: Column) -> Column:
@@ -62,38 +66,43 @@ def _attributes(json_array: Column) -> Column:
     items = F.from_json(json_array, "array<struct<key:string,value:string>>")
     value = lambda v: F.coalesce(F.get_json_object(v, "$.stringValue"), F.get_json_object(v, "$.intValue"), F.get_json_object(v, "$.doubleValue"), F.get_json_object(v, "$.boolValue"), F.get_json_object(v, "$.bytesValue"))
     entries = F.transform(items, lambda i: F.struct(i["key"].alias("key"), value(i["value"]).alias("value")))
-    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
-    last = lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]
-    return F.coalesce(F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), last(k).alias("value")))), F.create_map().cast("map<string,string>"))
 
+    def merged(e: Column) -> Column:
+        keys = F.array_distinct(F.transform(e, lambda x: x["key"]))
+        last = lambda k: F.element_at(F.filter(e, lambda x: x["key"] == k), -1)["value"]
+        return F.map_from_entries(F.transform(keys, lambda k: F.struct(k.alias("key"), last(k).alias("value"))))
 
-def _either(v: Column, camel: str, snake: str) -> Column:
-    return F.coalesce(F.get_json_object(v, f"$.{camel}"), F.get_json_object(v, f"$.{snake}"))
+    # The list is parsed once, not again for each of its keys.
+    return F.coalesce(S.let(entries, merged), F.create_map().cast("map<string,string>"))
 
 
 def flatten_otlp_logs(requests: DataFrame, column: str = "request_json") -> DataFrame:
     """S1. One row per log record with resource and scope copied down; camelCase and snake_case keys."""
     items = lambda text: F.from_json(text, "array<string>")
-    r = requests.select(F.explode(items(_either(F.col(column), "resourceLogs", "resource_logs"))).alias("rl"))
-    s = r.select(F.get_json_object("rl", "$.resource.attributes").alias("ra"), F.explode(items(_either(F.col("rl"), "scopeLogs", "scope_logs"))).alias("sl"))
-    g = s.select("ra", F.get_json_object("sl", "$.scope").alias("scope"), F.explode(items(_either(F.col("sl"), "logRecords", "log_records"))).alias("lr"))
     text = lambda c, default: F.coalesce(c, F.lit(default))
+    # Each text is read in one pass for all its members; resource and scope are read once for all their records.
+    r = requests.select(F.json_tuple(column, "resourceLogs", "resource_logs").alias("_a", "_b")).select(F.explode(items(F.coalesce("_a", "_b"))).alias("rl"))
+    s = r.select(F.json_tuple("rl", "resource", "scopeLogs", "scope_logs").alias("_r", "_a", "_b")).select(F.get_json_object("_r", "$.attributes").alias("ra"), F.explode(items(F.coalesce("_a", "_b"))).alias("sl"))
+    s = s.select("ra", F.json_tuple("sl", "scope", "logRecords", "log_records").alias("_s", "_a", "_b"))
+    name = lambda k: text(F.get_json_object("_s", f"$.{k}"), "").alias(k)
+    s = s.select(_attributes(F.col("ra")).alias("resource"), F.struct(name("name"), name("version")).alias("scope"), F.coalesce("_a", "_b").alias("records"))
+    g = s.select("resource", "scope", F.explode(items(F.col("records"))).alias("lr"))
+    pairs = [("eventName", "event_name", ""), ("timeUnixNano", "time_unix_nano", "0"), ("traceId", "trace_id", ""), ("spanId", "span_id", "")]
+    members = ["body", "attributes", *[k for camel, snake, _ in pairs for k in (camel, snake)]]
+    g = g.select("resource", "scope", F.json_tuple("lr", *members).alias(*[f"_{k}" for k in members]))
+    either = {snake: text(F.coalesce(f"_{camel}", f"_{snake}"), default).alias(snake) for camel, snake, default in pairs}
     return g.select(
-        _attributes(F.col("ra")).alias("resource"),
-        F.struct(text(F.get_json_object("scope", "$.name"), "").alias("name"), text(F.get_json_object("scope", "$.version"), "").alias("version")).alias("scope"),
-        text(_either(F.col("lr"), "eventName", "event_name"), "").alias("event_name"),
-        anyvalue_to_json(F.get_json_object("lr", "$.body")).alias("body_json"),
-        _attributes(F.get_json_object("lr", "$.attributes")).alias("attributes"),
-        text(_either(F.col("lr"), "timeUnixNano", "time_unix_nano"), "0").alias("time_unix_nano"),
-        text(_either(F.col("lr"), "traceId", "trace_id"), "").alias("trace_id"),
-        text(_either(F.col("lr"), "spanId", "span_id"), "").alias("span_id"),
-    )
+        "resource", "scope", either["event_name"], anyvalue_to_json(F.col("_body")).alias("body_json"), _attributes(F.col("_attributes")).alias("attributes"),
+        either["time_unix_nano"], either["trace_id"], either["span_id"],
+    )
 
 
 def select_provider_ops(logs: DataFrame) -> DataFrame:
     """P1. Records that carry the contract's attributes and an object body of its schema."""
     a = F.col("attributes")
-    return logs.filter(
+    # A filter that reaches the scan would parse the attributes again for each of its terms.
+    made = S.settled(logs, {"attributes": a, "body_json": F.col("body_json")}).select(logs.columns)
+    return made.filter(
         a["sdar.record.id"].isNotNull() & a["sdar.record.hash"].isNotNull() & a["sdar.schema.name"].eqNullSafe(C.SCHEMA_NAME) & a["sdar.schema.version"].eqNullSafe(C.SCHEMA_VERSION) & F.get_json_object("body_json", "$.schemaName").eqNullSafe(C.SCHEMA_NAME)
     )
 
