@@ -19,14 +19,14 @@ ALONE = "\u001e"
 
 def provider_identity() -> Column:
     """W3. Provider, instance, type and first local id, joined; null if one is missing."""
-    local = F.coalesce("task_id", "external_command_id", F.get_json_object("payload_json", "$.externalCommandId"), "resource_id", "external_execution_id", "provider_event_id")
+    local = F.coalesce("task_id", "external_command_id", F.get_json_object(S.may_hold(F.col("payload_json"), "externalCommandId"), "$.externalCommandId"), "resource_id", "external_execution_id", "provider_event_id")
     ok = F.col("provider_id").isNotNull() & F.col("instance_id").isNotNull() & F.col("record_type").isNotNull() & (F.length(local) > 0)
     return F.when(ok, F.concat_ws(SEPARATOR, "provider_id", "instance_id", "record_type", local))
 
 
 def provider_terminal() -> Column:
-    explicit = F.get_json_object("payload_json", "$.terminalStatus")
-    implied = F.when(F.get_json_object("attributes_json", "$.terminal") == "true", F.get_json_object("payload_json", "$.currentState"))
+    explicit = F.get_json_object(S.may_hold(F.col("payload_json"), "terminalStatus"), "$.terminalStatus")
+    implied = F.when(F.get_json_object(S.may_hold(F.col("attributes_json"), "terminal"), "$.terminal") == "true", F.get_json_object(S.may_hold(F.col("payload_json"), "currentState"), "$.currentState"))
     return F.coalesce(F.when(F.length(explicit) > 0, explicit), implied)
 
 

@@ -81,7 +81,7 @@ def normalize(accepted: DataFrame, now: Column) -> DataFrame:
     )
     facts = facts.withColumn("relations", derive_relations())
     hashed = [c for c in facts.columns if c not in ("raw_payload_json", "arrival_seq")]
-    return facts.withColumn("fact_hash", S.fact_hash(F.struct(*hashed))).withColumn("normalized_at", now)
+    return facts.withColumn("fact_hash", S.fact_hash(F.struct(*hashed), facts.select(hashed).schema)).withColumn("normalized_at", now)
 
 
 def entity_ref_rows(facts: DataFrame) -> DataFrame:

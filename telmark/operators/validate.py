@@ -229,7 +229,7 @@ def _rules(columns: list[str]) -> list[tuple[Column, str]]:
     if "present_keys" in columns:
         missing = F.size(F.array_except(F.array(*[F.lit(k) for k in C.REQUIRED_KEYS]), c("present_keys"))) > 0
         rules.append((F.coalesce(missing, F.lit(False)), "REQUIRED_FIELD_MISSING"))
-    command = F.get_json_object("payload_json", "$.externalCommandId") if "payload_json" in columns else F.lit(None).cast("string")
+    command = F.get_json_object(S.may_hold(F.col("payload_json"), "externalCommandId"), "$.externalCommandId") if "payload_json" in columns else F.lit(None).cast("string")
     rt = text("record_type")
     local = (
         F.when(rt == "provider.task.lifecycle", falsy("task_id"))
