@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,6 @@ from telmark import contracts as C
 from telmark.functions import scalars as S
 from telmark.operators import classify, mapping, validate
 from telmark.sources import otlp
-from telmark.sources.store import stored
 
 #: Seven records in a row are one source record in each mode.
 MODES = ("original", "conflict", "outage-recovery", "malformed", "oversized", "sensitive", "unselected")
@@ -45,15 +45,24 @@ def payloads(records: DataFrame) -> DataFrame:
     return records.select("arrival_seq", "record_type", F.element_at(pick[F.col("record_type")], odd + 1).alias("payload_json"), (odd == 0).alias("valid"))
 
 
+_ATTRIBUTES = '{"source":"provider_telemetry_ingress"}'
+
+
+def _by_mode(mode: Column, made: Callable[[Column], Column]) -> Column:
+    """What is made of a mode's payload, a constant."""
+    state = lambda reason, state: F.lit(json.dumps({"reasonCode": reason, "state": state}, separators=(",", ":")))
+    long = F.concat(F.lit('{"diagnostic":"'), F.repeat(F.lit("x"), F.lit(20_000)), F.lit('"}'))
+    out = made(state("HEALTHY", "ready"))
+    for i, text in ((1, state("CONFLICT", "degraded")), (2, state("RECOVERED", "ready")), (4, long), (5, F.lit('{"password":"must-not-persist"}'))):
+        out = F.when(mode == i, made(text)).otherwise(out)
+    return out
+
+
 def envelopes(records: DataFrame) -> DataFrame:
     """Envelopes of the modes, as fields, with their true hashes. Only the original of a group of seven and its recovery are to be accepted."""
     group, mode = F.expr("arrival_seq div 7"), (F.col("arrival_seq") % 7).cast("int")
     recovered = mode == 2
     own = F.when(mode.isin(0, 1), F.concat(F.lit("group|"), group.cast("string"))).otherwise(F.concat(F.lit("one|"), F.col("arrival_seq").cast("string")))
-    payload = (
-        F.when(mode == 1, F.lit('{"reasonCode":"CONFLICT","state":"degraded"}')).when(mode == 2, F.lit('{"reasonCode":"RECOVERED","state":"ready"}')).when(mode == 4, F.concat(F.lit('{"diagnostic":"'), F.repeat(F.lit("x"), F.lit(20_000)), F.lit('"}')))
-        .when(mode == 5, F.lit('{"password":"must-not-persist"}')).otherwise(F.lit('{"reasonCode":"HEALTHY","state":"ready"}'))
-    )
     iso = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
     fields: dict[str, Column] = {
         "schemaName": F.lit(C.SCHEMA_NAME), "schemaVersion": F.lit(C.SCHEMA_VERSION), "recordId": S.uuid_v5(own), "recordType": F.lit("provider.resource.state"), "eventCategory": F.lit("resource.state"),
@@ -61,10 +70,11 @@ def envelopes(records: DataFrame) -> DataFrame:
         "providerEventId": F.when(recovered, "recovery").otherwise("source"), "occurredAt": iso("occurred_at"), "emittedAt": iso(F.col("occurred_at") + F.expr("INTERVAL 0.25 SECOND")),
     }
     sequence = F.when(recovered, 2).otherwise(1)
-    out = records.select("arrival_seq", mode.alias("mode"), *[v.alias(k) for k, v in fields.items()], sequence.cast("long").alias("providerEventSequence"), payload.alias("payload"))
-    body = F.to_json(F.struct(*fields, "providerEventSequence", F.parse_json(F.lit('{"source":"provider_telemetry_ingress"}')).alias("attributes"), F.parse_json("payload").alias("payload")))
-    # Settled, so that the texts are made once, however often the hash's expression reads them.
-    return stored(S.settled(out.withColumn("body", body), {"body": F.col("body")}).withColumn("recordHash", S.record_hash(F.col("body"))).drop("body"), "envelopes")
+    out = records.select("arrival_seq", mode.alias("mode"), *[v.alias(k) for k, v in fields.items()], sequence.cast("long").alias("providerEventSequence"), _by_mode(mode, lambda text: text).alias("payload"))
+    members = {k: F.col(k) for k in [*fields, "providerEventSequence"]} | {"attributes": F.parse_json(F.lit(_ATTRIBUTES)), "payload": _by_mode(F.col("mode"), F.parse_json)}
+    # The hashed members in order, which is the canonical text. Settled, so that hashes are made once; not written, since the texts are many times the records.
+    hashed = F.to_json(F.struct(*[members[k].alias(k) for k in sorted(members) if k not in C.HASH_EXCLUDED]))
+    return S.settled(out, {k: F.col(k) for k in fields} | {"recordHash": F.sha2(hashed, 256)})
 
 
 def requests(records: DataFrame) -> DataFrame:
@@ -77,7 +87,7 @@ def requests(records: DataFrame) -> DataFrame:
     flat = lambda text: F.struct(F.transform(F.map_entries(F.from_json(text, "map<string,string>")), lambda x: F.struct(x["key"].alias("key"), F.struct(x["value"].alias("stringValue")).alias("value"))).cast(kv).alias("values"))
     names = [c for c in e.columns if c not in ("arrival_seq", "mode", "payload", "providerEventSequence")]
     body = [F.when(F.col(c).isNotNull(), pair(c, value(F.col(c)))) for c in names]
-    body += [pair("providerEventSequence", value(number=F.col("providerEventSequence").cast("string"))), pair("attributes", value(items=flat(F.lit('{"source":"provider_telemetry_ingress"}')))), pair("payload", value(items=flat(F.col("payload"))))]
+    body += [pair("providerEventSequence", value(number=F.col("providerEventSequence").cast("string"))), pair("attributes", value(items=flat(F.lit(_ATTRIBUTES)))), pair("payload", value(items=_by_mode(F.col("mode"), flat)))]
     plain = lambda key, v: F.struct(F.lit(key).alias("key"), F.struct(v.alias("stringValue")).alias("value"))
     unselected = F.col("mode") == 6
     attributes = F.array(
@@ -97,5 +107,7 @@ def through_the_chain(requests: DataFrame, mappings: DataFrame, received_at: Col
     rows = logs.select(F.col("time_unix_nano").cast("long").alias("arrival_seq"), received_at.alias("received_at"), F.col("body_json").alias("envelope_json"), F.col("attributes").alias("otlp"), F.col("context.deployment_id").alias("deployment_id"), F.col("context.collector_id").alias("collector_id"), F.col("context.trust_domain").alias("trust_domain"))
     checked = mapping.resolve_source_mapping(validate.validate_envelopes(validate.parse_envelopes(rows)), mappings)
     checked = checked.withColumn("error_code", F.coalesce("error_code", F.when(F.col("mapping").isNull(), "SOURCE_UNMAPPED")))
-    out = classify.assess(classify.with_identity(checked), F.col("error_code").isNull())
+    # Only what is judged is written: texts are many times as large.
+    judged = classify.with_identity(checked).select("arrival_seq", *[c for c in classify.JUDGED if c in checked.columns], "identity", "revision", "terminal", "error_code")
+    out = classify.assess(judged, F.col("error_code").isNull())
     return out.select("arrival_seq", F.coalesce("outcome", F.lit("rejected")).alias("outcome"), F.coalesce("error_code", "blocking_code").alias("error_code"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,15 +49,22 @@ _ENCODER = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"))
 
 
 @F.pandas_udf(T.StringType())
-def _plain_json(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in values:
-        yield s.map(lambda t: None if t is None else _ENCODER.encode(_plain(json.loads(t))))
+def _plain_json(values: pd.Series) -> pd.Series:
+    return values.map(lambda t: None if t is None else _ENCODER.encode(_plain(json.loads(t))))
+
+
+def _anyvalue_forms(value: Column) -> Column:
+    """``struct(odd, plain)``: the plain JSON of a string, or the tagged value if it is none."""
+    return S.let(F.get_json_object(value, "$.stringValue"), lambda t: F.struct(F.when(t.isNull(), value).alias("odd"), F.when(t.isNotNull(), F.to_json(t.cast("variant"))).alias("plain")))
+
+
+def _anyvalue_of(forms: Column) -> Column:
+    return F.coalesce(forms["plain"], _plain_json(forms["odd"]))
 
 
 def anyvalue_to_json(value: Column) -> Column:
     """S2. A tagged value's JSON text to plain JSON text. Strings, which most are, stay in the JVM."""
-    text = F.get_json_object(value, "$.stringValue")
-    return F.coalesce(F.when(text.isNotNull(), F.to_json(text.cast("variant"))), _plain_json(F.when(text.isNull(), value)))
+    return _anyvalue_of(_anyvalue_forms(value))
 
 
 def _attributes(json_array: Column) -> Column:
@@ -90,9 +96,10 @@ def flatten_otlp_logs(requests: DataFrame, column: str = "request_json") -> Data
     pairs = [("eventName", "event_name", ""), ("timeUnixNano", "time_unix_nano", "0"), ("traceId", "trace_id", ""), ("spanId", "span_id", "")]
     members = ["body", "attributes", *[k for camel, snake, _ in pairs for k in (camel, snake)]]
     g = g.select("resource", "scope", F.json_tuple("lr", *members).alias(*[f"_{k}" for k in members]))
+    g = S.settled(g, {"_body": _anyvalue_forms(F.col("_body"))})
     either = {snake: text(F.coalesce(f"_{camel}", f"_{snake}"), default).alias(snake) for camel, snake, default in pairs}
     return g.select(
-        "resource", "scope", either["event_name"], anyvalue_to_json(F.col("_body")).alias("body_json"), _attributes(F.col("_attributes")).alias("attributes"),
+        "resource", "scope", either["event_name"], _anyvalue_of(F.col("_body")).alias("body_json"), _attributes(F.col("_attributes")).alias("attributes"),
         either["time_unix_nano"], either["trace_id"], either["span_id"],
     )
 
